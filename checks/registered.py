@@ -186,12 +186,11 @@ def snk_json_split(spark, sf_dir):
     path = scratch_path(spark, "split")
     rows = profiling.hash_split(profiling.clean_records(adapter.text_rows(spark, sf_dir)))
     rows = rows.drop("review_text")
-    writers.write_split(
-        rows.filter("split = 'train'"), rows.filter("split = 'test'"), path, fmt="json"
-    )
-    columns = rows.schema
-    both = [spark.read.schema(columns).json(f"{path}/{part}") for part in ("train", "test")]
-    return both[0].unionByName(both[1])
+    writers.write_split(rows, path, fmt="json")
+    parts = [
+        writers.read_split(spark, path, part, rows.schema, fmt="json") for part in ("train", "test")
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 # --- staging ------------------------------------------------------------------------

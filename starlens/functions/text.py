@@ -22,14 +22,21 @@ FALSY_JSON = ("", "0", "0.0", "false", "[]", "{}")
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+WHITESPACE = "".join(map(chr, WHITESPACE_CODE_POINTS))
+
+
 def strip(col: Column) -> Column:
     """Trim every kind of white space, not only blanks (SQL ``trim`` keeps tabs)."""
-    return F.btrim(col, F.lit("".join(map(chr, WHITESPACE_CODE_POINTS))))
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def is_empty(col: Column) -> Column:
-    """True for NULL and for text that is nothing but white space."""
-    return F.coalesce(strip(col) == "", F.lit(True))
+    """True for NULL and for text that is nothing but white space.
+
+    Trimming on the left stops at the first other character; trimming on the
+    right would index the whole text.
+    """
+    return F.coalesce(F.ltrim(col, F.lit(WHITESPACE)) == "", F.lit(True))
 
 
 def safe_int(col: Column) -> Column:

@@ -151,12 +151,18 @@ def random_split(
     return df.randomSplit(list(weights), seed)
 
 
+def with_split(df: DataFrame, train_ratio: float = 0.7, seed: int = 42) -> DataFrame:
+    """Add ``split`` by review key: stable under any partitioning or retry."""
+    fraction = key_fraction(review_key(F.col("parent_asin"), F.col("review_id")), seed)
+    return df.withColumn("split", F.when(fraction < train_ratio, "train").otherwise("test"))
+
+
 def key_split(
     df: DataFrame, train_ratio: float = 0.7, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by review key: stable under any partitioning or retry."""
-    fraction = key_fraction(review_key(F.col("parent_asin"), F.col("review_id")), seed)
-    return df.filter(fraction < train_ratio), df.filter(fraction >= train_ratio)
+    """Train and test rows of ``with_split``."""
+    split = with_split(df, train_ratio, seed)
+    return split.filter("split = 'train'"), split.filter("split = 'test'")
 
 
 def sanitize(df: DataFrame, dim: int, col: str = "features") -> DataFrame:
@@ -165,7 +171,9 @@ def sanitize(df: DataFrame, dim: int, col: str = "features") -> DataFrame:
     Use the dimension of the training data for the test data as well.
     """
     zero = F.lit(0.0)
-    values = F.coalesce(vector_to_array(F.col(col)), F.array().cast("array<double>"))
+    values = F.when(F.col(col).isNotNull(), vector_to_array(F.col(col))).otherwise(
+        F.array().cast("array<double>")
+    )
     cleaned = F.transform(
         values, lambda x: F.when((x > zero) & (x < F.lit(float("inf"))), x).otherwise(zero)
     )

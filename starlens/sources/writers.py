@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A single-file export runs in one task, so it is kept for small results.
 SINGLE_FILE_ROW_LIMIT = 1_000_000
 
+# A CSV file with quoted line breaks is read by one task, so files are kept small.
+CSV_FILE_ROWS = 500_000
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     (
@@ -15,6 +20,9 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("maxRecordsPerFile", CSV_FILE_ROWS)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .csv(path)
     )
@@ -62,11 +70,21 @@ def _rename_part(spark: SparkSession, folder: str, path: str) -> str:
     return path
 
 
-def write_split(train: DataFrame, test: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write ``train`` and ``test`` folders under ``path``.
+def write_split(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write a frame with a ``split`` column as one folder per split, in one pass.
 
     Parquet keeps vector positions. JSON does not keep the vector type, so it is
     meant for frames of plain columns.
     """
-    for name, frame in (("train", train), ("test", test)):
-        frame.write.mode("overwrite").format(fmt).save(f"{path}/{name}")
+    df.write.mode("overwrite").partitionBy("split").format(fmt).save(path)
+
+
+def read_split(
+    spark: SparkSession, path: str, split: str, schema: StructType | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """The rows of one split; the other folders are not read."""
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path).filter(F.col("split") == split)
