@@ -75,8 +75,3 @@ def category_or_unknown(col: Column) -> Column:
     """Blank-trimmed label; missing and blank labels become ``unknown``."""
     cleaned = F.trim(col.cast("string"))
     return F.when(F.length(cleaned) > 0, cleaned).otherwise(F.lit("unknown"))
-
-
-def json_cell(document: Column, field: str) -> Column:
-    """A nested value as compact JSON text: key order and inner nulls are kept."""
-    return F.get_json_object(document, f"$.{field}")

@@ -38,13 +38,12 @@ def stage_reviews(lines: DataFrame) -> DataFrame:
         from_millis(F.col("raw.timestamp").try_cast("bigint")).alias("review_timestamp"),
         "raw.helpful_vote",
         text.json_truthy(F.col("raw.verified_purchase")).alias("verified_purchase"),
-        text.json_cell(F.col("value"), "images").alias("images_json"),
+        F.col("raw.images").alias("images_json"),
     )
 
 
 def stage_metadata(lines: DataFrame) -> DataFrame:
     """Product rows (11 columns) from JSON lines; rows without a product key are dropped."""
-    value = F.col("value")
     return (
         lines.withColumn("raw", F.from_json("value", schemas.RAW_METADATA))
         .filter(F.col("raw.parent_asin") != "")
@@ -56,10 +55,10 @@ def stage_metadata(lines: DataFrame) -> DataFrame:
             "raw.rating_number",
             "raw.price",
             "raw.store",
-            text.json_cell(value, "features").alias("features_text"),
-            text.json_cell(value, "description").alias("description_text"),
-            text.json_cell(value, "categories").alias("categories_json"),
-            text.json_cell(value, "details").alias("details_json"),
+            F.col("raw.features").alias("features_text"),
+            F.col("raw.description").alias("description_text"),
+            F.col("raw.categories").alias("categories_json"),
+            F.col("raw.details").alias("details_json"),
         )
     )
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-# JSON review line. Numbers that may also arrive as text are read as text.
+# JSON review line. Numbers that may also arrive as text are read as text, and
+# so are nested values: Spark then keeps them as compact JSON, with their key
+# order and inner nulls, while it parses the line once.
 RAW_REVIEW = """
     rating STRING, title STRING, text STRING, asin STRING, parent_asin STRING,
-    user_id STRING, timestamp STRING, helpful_vote INT, verified_purchase STRING
+    user_id STRING, timestamp STRING, helpful_vote INT, verified_purchase STRING,
+    images STRING
 """
 
-# JSON product line; its nested fields are cut out as text, not parsed.
+# JSON product line.
 RAW_METADATA = """
     parent_asin STRING, main_category STRING, title STRING, average_rating DOUBLE,
-    rating_number INT, price STRING, store STRING
+    rating_number INT, price STRING, store STRING, features STRING,
+    description STRING, categories STRING, details STRING
 """
 
 REQUIRED_REVIEW_KEYS = (

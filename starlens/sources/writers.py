@@ -13,7 +13,7 @@ SINGLE_FILE_ROW_LIMIT = 1_000_000
 CSV_FILE_ROWS = 500_000
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, file_rows: int = CSV_FILE_ROWS) -> None:
     (
         df.write.mode("overwrite")
         .option("header", True)
@@ -22,7 +22,7 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", CSV_FILE_ROWS)
+        .option("maxRecordsPerFile", file_rows)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .csv(path)
     )
@@ -48,18 +48,19 @@ def write_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame
 def write_single_csv(df: DataFrame, path: str) -> str:
     """Write a small result as one CSV file and return the file's path.
 
-    The row count is checked while writing, so a result that is too big fails
-    instead of passing through one task.
+    The result is computed in parallel and stored first. Its rows are counted
+    there, so one that is too big fails instead of passing through one task.
     """
-    spark = df.sparkSession
-    if df.limit(SINGLE_FILE_ROW_LIMIT + 1).count() > SINGLE_FILE_ROW_LIMIT:
+    spark, rows, folder = df.sparkSession, path + ".rows", path + ".parts"
+    write_parquet(df, rows)
+    stored = spark.read.parquet(rows)
+    if stored.count() > SINGLE_FILE_ROW_LIMIT:
         raise ValueError(f"more than {SINGLE_FILE_ROW_LIMIT} rows: use write_csv")
-    folder = path + ".parts"
-    write_csv(df.coalesce(1), folder)
-    return _rename_part(spark, folder, path)
+    write_csv(stored.coalesce(1), folder, SINGLE_FILE_ROW_LIMIT)
+    return _rename_part(spark, folder, path, rows)
 
 
-def _rename_part(spark: SparkSession, folder: str, path: str) -> str:
+def _rename_part(spark: SparkSession, folder: str, path: str, rows: str) -> str:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     source, target = hadoop(folder), hadoop(path)
     fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -67,6 +68,7 @@ def _rename_part(spark: SparkSession, folder: str, path: str) -> str:
     fs.delete(target, False)
     fs.rename(part, target)
     fs.delete(source, True)
+    fs.delete(hadoop(rows), True)
     return path
 
 

@@ -194,3 +194,8 @@ def test_cleaning_scalars_equals_cleaning_vectors(table, data):
     late = features.sanitize(late, features.vector_dimension(late))
     pick = ("review_id", vector_to_array(F.col("features")).alias("v"))
     assert sorted(map(tuple, late.select(*pick).collect())) == sorted(map(tuple, data.select(*pick).collect()))
+
+
+def test_too_many_categories(data):
+    with pytest.raises(ValueError, match="store_clean"):
+        features.check_categories(data, ["store_clean"], most=2)
