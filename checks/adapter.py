@@ -102,6 +102,7 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str, copies: bool = Fals
 
 
 def landing_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product rows. A tenth of the parts have none, so that reviews of unknown products occur."""
     key = F.col("p_partkey")
     price = F.concat(
         F.lit("$"), F.round((F.col("p_retailprice") - 900) * 4, 2).cast("decimal(12,2)").cast("string")

@@ -203,6 +203,8 @@ TEXT_COLUMNS = (
     "review_id", "parent_asin", "user_id", "asin", "rating", "review_title", "review_text",
     "review_timestamp", "helpful_vote", "verified_purchase", "images_json",
 )
+MEASURED = f"""measured AS MATERIALIZED (
+      SELECT *, length({strip("review_text")}) AS text_length FROM text_rows)"""
 KEY = f"{strip('parent_asin')} || '|' || {strip('review_id')}"
 MISSING = " OR ".join(
     f"{strip(c)} = ''"
@@ -238,30 +240,29 @@ def _long(section: str, metric: str, field: str, value: str, source: str = "") -
 
 
 def _before() -> str:
-    length = f"length({strip('review_text')})"
-    filled = f"CASE WHEN {length} > 0 THEN {length} END"
+    filled = "CASE WHEN text_length > 0 THEN text_length END"
     avg = (
         f"((20000*CAST(coalesce(SUM({filled}),0) AS BIGINT)+COUNT({filled}))"
         f"//(2*greatest(COUNT({filled}),1)))/10000.0::DOUBLE"
     )
     parts = [
-        _long("'global'", "'total_rows'", "''", "COUNT(*)", "FROM text_rows"),
+        _long("'global'", "'total_rows'", "''", "COUNT(*)", "FROM measured"),
         _long("'global'", "'duplicate_rows'", "'review_key'", f"COUNT(*) - COUNT(DISTINCT {KEY})",
-              "FROM text_rows"),
-        _long("'text'", "'nonempty_count'", "'review_text'", f"COUNT({filled})", "FROM text_rows"),
-        _long("'text'", "'min_len'", "'review_text'", f"coalesce(MIN({filled}),0)", "FROM text_rows"),
-        _long("'text'", "'max_len'", "'review_text'", f"coalesce(MAX({filled}),0)", "FROM text_rows"),
-        _long("'text'", "'avg_len'", "'review_text'", avg, "FROM text_rows"),
+              "FROM measured"),
+        _long("'text'", "'nonempty_count'", "'review_text'", f"COUNT({filled})", "FROM measured"),
+        _long("'text'", "'min_len'", "'review_text'", f"coalesce(MIN({filled}),0)", "FROM measured"),
+        _long("'text'", "'max_len'", "'review_text'", f"coalesce(MAX({filled}),0)", "FROM measured"),
+        _long("'text'", "'avg_len'", "'review_text'", avg, "FROM measured"),
         _long("'rating_distribution'", "'count'",
               f"coalesce(CAST({safe_int('rating')} AS VARCHAR), 'invalid')", "COUNT(*)",
-              "FROM text_rows GROUP BY 3"),
+              "FROM measured GROUP BY 3"),
     ]
     for c in TEXT_COLUMNS:
         empty = f"COUNT(*) FILTER (WHERE {strip(c)} = '')"
-        parts.append(_long("'nulls'", "'count'", f"'{c}'", empty, f"FROM text_rows HAVING {empty} > 0"))
+        parts.append(_long("'nulls'", "'count'", f"'{c}'", empty, f"FROM measured HAVING {empty} > 0"))
         parts.append(
             _long("'nulls'", "'ratio'", f"'{c}'", ratio6(empty, "COUNT(*)"),
-                  f"FROM text_rows HAVING {empty} > 0")
+                  f"FROM measured HAVING {empty} > 0")
         )
     return " UNION ALL ".join(parts)
 
@@ -725,7 +726,7 @@ ORACLE: dict[str, str] = {
              WHERE parent_asin IN (SELECT parent_asin FROM metadata)) AS t FROM reviews)""",
     ),
     # Profiling and cleaning.
-    "lg_profile_before": base(_before(), True, TEXT_ROWS),
+    "lg_profile_before": base(_before(), True, TEXT_ROWS, MEASURED),
     "lg_drop_reasons": cleaned(
         """SELECT coalesce(drop_reason, 'kept') AS drop_reason, COUNT(*) AS row_count
            FROM reasoned GROUP BY 1"""

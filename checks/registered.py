@@ -22,6 +22,9 @@ QUERIES: dict[str, Query] = {}
 ANALYTIC = ("parent_asin", "rating", "helpful_vote", "verified_purchase")
 STAGED = schemas.column_names(schemas.STAGED_REVIEWS)
 
+# Tables made here carry a prefix, so that they replace no table of the user's.
+CHECK_TABLE = "starlens_check_"
+
 
 def register(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,8 +159,8 @@ def src_ext_parquet(spark, sf_dir):
 
 @register
 def snk_ctas(spark, sf_dir):
-    name, path = "q1_results", scratch_path(spark, "q1_results")
-    return writers.write_table(q1_category_purchase(spark, sf_dir), name, path)
+    result, path = q1_category_purchase(spark, sf_dir), scratch_path(spark, "q1_results")
+    return writers.write_table(result, CHECK_TABLE + "q1_results", path)
 
 
 @register
@@ -369,16 +372,16 @@ def wh_reviews_optimized(spark, sf_dir):
 @register
 def wh_reviews_bucketed(spark, sf_dir):
     path = scratch_path(spark, "reviews_bucketed")
-    spark.sql("DROP TABLE IF EXISTS reviews_optimized")
+    spark.sql(f"DROP TABLE IF EXISTS {CHECK_TABLE}reviews")
     landing = adapter.landing_reviews(spark, sf_dir)
-    return warehouse.build_bucketed_reviews(landing, "reviews_optimized", path)
+    return warehouse.build_bucketed_reviews(landing, CHECK_TABLE + "reviews", path)
 
 
 @register
 def wh_metadata_bucketed(spark, sf_dir):
     path = scratch_path(spark, "metadata_bucketed")
     landing = adapter.landing_metadata(spark, sf_dir)
-    return warehouse.build_bucketed_metadata(landing, "metadata_bucketed", path)
+    return warehouse.build_bucketed_metadata(landing, CHECK_TABLE + "metadata", path)
 
 
 @register

@@ -36,6 +36,7 @@ def local_session(cpus: int | str = 8, app_name: str = "starlens", **settings: s
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_SETTINGS, **settings}.items():
         builder = builder.config(key, value)

@@ -55,6 +55,7 @@ def write_single_csv(df: DataFrame, path: str) -> str:
     write_parquet(df, rows)
     stored = spark.read.parquet(rows)
     if stored.count() > SINGLE_FILE_ROW_LIMIT:
+        # The stored rows stay in ``path.rows`` for the caller to use.
         raise ValueError(f"more than {SINGLE_FILE_ROW_LIMIT} rows: use write_csv")
     write_csv(stored.coalesce(1), folder, SINGLE_FILE_ROW_LIMIT)
     return _rename_part(spark, folder, path, rows)
