@@ -47,6 +47,11 @@ def min_rows(df: DataFrame, n: int, subject: str) -> DataFrame:
     return _report(counted, [("min_rows", subject, F.col("n"), F.col("n") >= n)])
 
 
+def row_count(df: DataFrame, expected: int, subject: str) -> DataFrame:
+    counted = df.agg(F.count(F.lit(1)).alias("n"))
+    return _report(counted, [("row_count", subject, F.col("n"), F.col("n") == expected)])
+
+
 def reconcile(source: DataFrame, loaded: DataFrame, subject: str) -> DataFrame:
     """Rows in the source and in the loaded table; ok when they agree."""
     none = F.lit(0).cast("bigint")

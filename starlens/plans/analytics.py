@@ -4,7 +4,9 @@ The four questions that need product columns aggregate reviews by product
 before the join. What is shuffled is then one row of sums per product and map
 task instead of the reviews, and a product with a third of all reviews is as
 cheap as any other. The sums are additive, so the joined rows give the same
-averages as joined reviews would.
+averages as joined reviews would. For the same reason these questions also take
+a stored ``purchase_rollup`` as ``rollup``: one pass over the reviews then
+serves all of them.
 """
 
 from __future__ import annotations
@@ -119,10 +121,15 @@ def _low_votes_or_zero() -> Column:
     return F.when(F.col("low") < F.col("reviews"), F.coalesce(votes, F.lit(0))).otherwise(votes)
 
 
-def category_purchase(reviews: DataFrame, metadata: DataFrame, min_count: int = 500) -> DataFrame:
+def category_purchase(
+    reviews: DataFrame,
+    metadata: DataFrame,
+    min_count: int = 500,
+    rollup: DataFrame | None = None,
+) -> DataFrame:
     """Rating quality by product category and purchase type."""
     sums = _regroup(
-        purchase_rollup(reviews), metadata, "main_category", _label("main_category"),
+        rollup or purchase_rollup(reviews), metadata, "main_category", _label("main_category"),
         F.col("purchase_type"),
     )
     return (
@@ -148,10 +155,14 @@ def monthly_trend(reviews: DataFrame) -> DataFrame:
 
 
 def risky_stores(
-    reviews: DataFrame, metadata: DataFrame, min_count: int = 200, top: int = 20
+    reviews: DataFrame,
+    metadata: DataFrame,
+    min_count: int = 200,
+    top: int = 20,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
     """Stores with the largest share of low ratings; the store name settles ties."""
-    sums = _regroup(product_rollup(reviews), metadata, "store", _label("store"))
+    sums = _regroup(rollup or product_rollup(reviews), metadata, "store", _label("store"))
     return (
         sums.filter(F.col("reviews") >= min_count)
         .select(
@@ -162,21 +173,29 @@ def risky_stores(
     )
 
 
-def price_band_quality(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
+def price_band_quality(
+    reviews: DataFrame, metadata: DataFrame, rollup: DataFrame | None = None
+) -> DataFrame:
     """Volume and quality by price band."""
     band = price_band(F.col("price")).alias("price_band")
     return (
-        _regroup(product_rollup(reviews), metadata, "price", band)
+        _regroup(rollup or product_rollup(reviews), metadata, "price", band)
         .select("price_band", _count(), _avg_rating(), _low_share(), _avg_votes())
         .orderBy(F.desc("review_count"), "price_band")
     )
 
 
 def negative_helpfulness(
-    reviews: DataFrame, metadata: DataFrame, min_count: int = 500, top: int = 20
+    reviews: DataFrame,
+    metadata: DataFrame,
+    min_count: int = 500,
+    top: int = 20,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
     """How helpful readers find low ratings, by category."""
-    sums = _regroup(product_rollup(reviews), metadata, "main_category", _label("main_category"))
+    sums = _regroup(
+        rollup or product_rollup(reviews), metadata, "main_category", _label("main_category")
+    )
     return (
         sums.filter(F.col("reviews") >= min_count)
         .select(

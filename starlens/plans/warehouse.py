@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from starlens.functions import text
 from starlens.functions.pricing import clean_price
@@ -18,7 +19,12 @@ TEXT_LENGTH = (5, 5000)
 
 
 def optimize_reviews(landing: DataFrame) -> DataFrame:
-    """Typed reviews with timestamp and year/month columns, from landing rows."""
+    """Typed reviews with timestamp and year/month columns.
+
+    Landing rows hold epoch numbers; rows staged from JSON lines have timestamps already.
+    """
+    if isinstance(landing.schema["review_timestamp"].dataType, TimestampType):
+        return with_year_month(landing)
     typed = landing.withColumn("review_timestamp", normalize_epoch(F.col("review_timestamp")))
     return with_year_month(typed)
 
