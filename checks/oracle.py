@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from checks.portable import portable_sql
+
 # Every character Python's str.strip() removes (fixed values).
 BLANKS = "||".join(
     f"chr({c})"
@@ -544,7 +546,7 @@ META_COLUMNS = """parent_asin, main_category, title, average_rating, rating_numb
     features_text, description_text, categories_json, details_json"""
 COMMERCE = "parent_asin, rating, helpful_vote, verified_purchase"
 
-ORACLE: dict[str, str] = {
+STATEMENTS: dict[str, str] = {
     "q1_category_purchase": base(Q1),
     "q2_monthly_trend": base(Q2),
     "q3_risky_stores": base(Q3),
@@ -874,3 +876,5 @@ ORACLE: dict[str, str] = {
         "SELECT DISTINCT CAST(label AS DOUBLE) AS label FROM features", False, FEATURES
     ),
 }
+
+ORACLE = {name: portable_sql(name, sql) for name, sql in STATEMENTS.items()}

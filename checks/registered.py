@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapter
+from checks.portable import portable
 from starlens.functions import measures, pricing, temporal, text
 from starlens.functions.keys import key_fraction
 from starlens.operators import evaluation, features, models, profiling, quality, staging
@@ -28,7 +29,7 @@ CHECK_TABLE = "starlens_check_"
 
 def register(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(prepare(spark), sf_dir)
+        return portable(query.__name__, query(prepare(spark), sf_dir))
 
     QUERIES[query.__name__] = run
     return query
