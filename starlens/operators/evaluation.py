@@ -131,12 +131,9 @@ def baseline_metrics(predictions: DataFrame) -> DataFrame:
             F.round(value.cast("double"), 6).alias("value"),
         )
 
+    metrics = ("precision", "recall", "f1", "support")
     per_class = scores.select(
-        F.inline(
-            F.array(
-                *[entry(F.col("class"), m, F.col(m)) for m in ("precision", "recall", "f1", "support")]
-            )
-        )
+        F.inline(F.array(*[entry(F.col("class"), m, F.col(m)) for m in metrics]))
     )
     everything = F.lit("all")
     overall = scores.agg(
@@ -173,12 +170,11 @@ def prior_probs(priors: DataFrame) -> DataFrame:
 
 def theta_pivot(theta: DataFrame, labels: Sequence[float] = RATING_LABELS) -> DataFrame:
     """Features by label, holding the log probability of the first slot of each name."""
+    values = [float(label) for label in labels]
     return (
         theta.groupBy("feature_name")
-        .pivot("label_value", [float(label) for label in labels])
+        .pivot("label_value", values)
         .agg(F.min_by("log_conditional_probability", "feature_index"))
-        .select(
-            "feature_name", *[F.col(f"`{float(label)}`").alias(f"label_{label:g}") for label in labels]
-        )
+        .select("feature_name", *[F.col(f"`{v}`").alias(f"label_{v:g}") for v in values])
         .orderBy("feature_name")
     )
