@@ -8,8 +8,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starlens.llm.cross_entropy import op1_cross_entropy
+from starlens.llm.decontamination import op7_decontamination
 from starlens.llm.fingerprints import op2_fingerprints
 from starlens.llm.languages import op9_language_id
+from starlens.llm.mixing import op5_mixing
 from starlens.llm.near_duplicates import op6_near_duplicates
 from starlens.llm.secrets import op3_secrets
 from starlens.llm.token_counts import op8_token_counts
@@ -43,10 +46,13 @@ def registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 QUERIES = {
     q.__name__: registered(q)
     for q in (
+        op1_cross_entropy,
         op2_fingerprints,
         op3_secrets,
         op4_token_store,
+        op5_mixing,
         op6_near_duplicates,
+        op7_decontamination,
         op8_token_counts,
         op9_language_id,
         op10_toxicity,
