@@ -10,10 +10,11 @@ it. Bands of ``BAND_ROWS`` coordinates bring likely pairs together: a pair at th
 0.85 meets in no band with a probability of 2e-7.
 
 Documents with equal sets form one class, found by a digest, so copies are never paired.
-Classes that meet in a band are compared with the band's first class, whole set against
-whole set. Where a band still holds more than one component after that, its classes of
-different components are compared with each other too, so no link between bands' members
-is lost and no group is capped. Before sets are fetched, pairs are dropped whose sizes
+A band's classes are compared with one that leads it, whole set against whole set. The
+classes of bands that still hold more than one component after that are compared too,
+where their components differ and they share one of their rarest shingles, without which
+sets can't be similar enough. So no link between bands' members is lost, no group is
+capped, and documents that merely share a common passage aren't paired. Before sets are fetched, pairs are dropped whose sizes
 rule out a link, or whose sketches agree in less than ``LEAST_AGREEMENT`` of the
 coordinates (over eight standard deviations below the limit).
 
@@ -31,7 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starlens.llm.arrays import mix, slices, word_hashes
@@ -44,6 +45,7 @@ BAND_ROWS = 8
 BANDS = 48
 COORDINATES = BAND_ROWS * BANDS
 LEAST_AGREEMENT = 0.70
+FEW_HOLDERS = 16
 
 
 def shingle_sets(hashes: np.ndarray, before: np.ndarray, words: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -183,26 +185,66 @@ class NearDuplicates:
             ),
             "classes",
         )
-        bands = self.classes.select("class", "n", F.explode("bands").alias("band"))
-        leaders = bands.groupBy("band").agg(F.min(F.struct("class", "n")).alias("lead"), F.count("*").alias("members"))
-        leaders = leaders.where("members > 1").select("band", "lead")
-        members = self._kept(bands.join(leaders, "band"), "members")
-        first = members.select(F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb"))
-        links = self._verified(first.where("a <> b"), "first")
-        labels = components(links)
-        # Bands that still hold several components: all their cross-component pairs.
-        labelled = members.join(labels, members["class"] == labels["node"], "left").select(
-            "band", "class", "n", "lead", F.coalesce("label", "class").alias("label")
+        members = self._members()
+        # A class that meets most others leads its band: of near copies, likely the one they stem from.
+        leaders = members.groupBy("band").agg(F.max(F.struct("degree", "class", "n")).alias("lead"))
+        led = members.join(leaders, "band").where("class <> lead.class")
+        pairs = led.select(
+            F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb")
         )
-        open_bands = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        rest = self._kept(labelled.join(open_bands.where("low <> high").select("band"), "band"), "open-bands")
-        one = rest.select("band", F.col("class").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("lead.class").alias("lead"))
-        other = rest.select("band", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        second = one.join(other, "band").where("la < lb and a <> lead and b <> lead").select("a", "b", "na", "nb")
-        more = self._verified(second, "second")
-        labels = components(links.unionByName(more))
+        links = self._verified(pairs, "led")
+        rest = self._verified(self._rare_pairs(self._open(members, components(links))), "rest")
+        labels = components(links.unionByName(rest))
         return self._result(rows, labels)
 
+    def _members(self) -> DataFrame:
+        """band, class, n and degree of each class in each band with several classes."""
+        bands = self.classes.select("class", "n", F.explode("bands").alias("band"))
+        shared = bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+        members = self._kept(bands.join(shared, "band"), "shared-bands")
+        degrees = members.groupBy("class").agg(F.sum("members").alias("degree"))
+        return members.join(degrees, "class").select("band", "class", "n", "degree")
+
+    def _open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """class, n and label of the classes in bands that hold several components."""
+        labelled = members.join(labels, members["class"] == labels["node"], "left")
+        labelled = labelled.select("band", "class", "n", F.coalesce("label", "class").alias("label"))
+        several = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        held = labelled.join(several.where("low <> high").select("band"), "band")
+        return self._kept(held.select("class", "n", "label").distinct(), "open")
+
+    def _rare_pairs(self, classes: DataFrame) -> DataFrame:
+        """Pairs of different components that share one of their rarest shingles.
+
+        Sets of n and m elements can't be similar enough unless they share one of the
+        n - ceil(0.85 n) + 1 rarest of the first and of as large a part of the second. Nor
+        can they if those that no other class holds leave too few to share. A pair that
+        shares no shingle of at most ``FEW_HOLDERS`` classes has to get by with the others.
+        """
+        sets = self._sets(classes.select("class"))
+        items = self._kept(sets.mapInArrow(_item_rows, "class long, item long"), "items")
+        counts = items.groupBy("item").agg(F.count("*").alias("holders"))
+        by_rarity = Window.partitionBy("class").orderBy("holders", "item")
+        whole = Window.partitionBy("class")
+        ranked = items.join(counts, "item").withColumns(
+            {
+                "rank": F.row_number().over(by_rarity),
+                "shared": F.sum((F.col("holders") > 1).cast("long")).over(whole),
+                "common": F.sum((F.col("holders") > FEW_HOLDERS).cast("long")).over(whole),
+            }
+        )
+        rare = ranked.join(classes, "class").where(f"rank <= n - ceil({PERCENT} * n / 100) + 1 and holders > 1")
+        rare = self._kept(rare.select("item", "class", "n", "label", "shared", "common", "holders"), "rare-items")
+        several = rare.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        rare = rare.join(several.where("low <> high").select("item"), "item")
+        one = rare.toDF("item", "a", "na", "la", "sa", "ca", "holders")
+        other = rare.drop("holders").toDF("item", "b", "nb", "lb", "sb", "cb")
+        enough = lambda common: f"100 * {common} >= {PERCENT} * (na + nb - {common})"
+        few = f"holders <= {FEW_HOLDERS} or {enough('least(ca, cb)')}"
+        return one.join(other, "item").where(f"la < lb and {enough('least(sa, sb)')} and ({few})").select(
+            "a", "b", "na", "nb"
+        )
+
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Distinct pairs of classes whose full sets are similar enough."""
         pairs = pairs.where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
@@ -210,13 +252,13 @@ class NearDuplicates:
         small = self.classes.select("class", "small")
         pairs = pairs.join(small.toDF("a", "small_a"), "a").join(small.toDF("b", "small_b"), "b")
         likely = self._kept(pairs.mapInArrow(_agree, "a long, b long"), f"{name}-likely")
-        sets = self._sets(likely)
+        needed = likely.select(F.col("a").alias("class")).union(likely.select(F.col("b").alias("class"))).distinct()
+        sets = self._sets(needed)
         both = likely.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
         return self._kept(both.mapInArrow(_linked, "a long, b long"), f"{name}-links")
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        """Full sets of the classes in some pair, made anew from one text of each."""
-        needed = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    def _sets(self, needed: DataFrame) -> DataFrame:
+        """Full sets of some classes, made anew from one text of each."""
         chosen = needed.join(self.classes.select("class", "doc_id"), "class")
         texts = self.documents.join(chosen, "doc_id").select("class", "text")
         made = texts.mapInArrow(_set_batches, "class long, items binary")
@@ -244,6 +286,13 @@ def _own_sets(batches):
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
+def _item_rows(batches):
+    for batch in batches:
+        for one, held in zip(batch.column("class").to_pylist(), batch.column("items").to_pylist(), strict=True):
+            items = np.frombuffer(held, np.int64)
+            yield pa.RecordBatch.from_pydict({"class": pa.array(np.full(len(items), one)), "item": pa.array(items)})
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     return NearDuplicates(documents).find()
 
