@@ -15,7 +15,7 @@ document ids, a document lies in one segment, and a segment holds about
 ``bases`` beside the segments holds how many ids come before each of them.
 
 Defined results: a null or empty text has only the end id. Documents without an id come
-first. Rows with the same id keep their own entry each, in the order of their ids.
+first. Rows with the same id keep their own entry each, in the order of their texts.
 Other columns are not stored. An empty table makes an empty store.
 """
 
@@ -36,7 +36,7 @@ from starlens.session import scratch_path
 
 END_ID = 0
 SEGMENT_IDS = 1 << 20
-SHARD_IDS = 1 << 23
+SHARD_BYTES = 16_000_000
 SAMPLE_EVERY = 64
 
 SEGMENT = (
@@ -97,28 +97,6 @@ class EliasFano:
         return bits.reshape(-1, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
 
 
-def encode_documents(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens and ids (with the end id) of each document."""
-    path = path or tokenizer_path()
-
-    def run(batches):
-        encoder = word_encoder(path)
-        end = np.array([END_ID], dtype=encoder.kind).tobytes()
-        for batch in slices(batches, "text"):
-            ids = [x + end for x in encoder.batch(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_tokens": pa.array([len(x) // encoder.kind.itemsize for x in ids], pa.int64()),
-                    "width": pa.array([encoder.kind.itemsize] * len(ids), pa.int32()),
-                    "ids": pa.array(ids, pa.binary()),
-                }
-            )
-
-    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(run, "doc_id long, n_tokens long, width int, ids binary")
-
-
 def _segment_row(shard: int, number: int, docs: list, sizes: list[int], ids: list[bytes], width: int) -> dict:
     ends = np.cumsum(sizes)
     coded = EliasFano.of(ends, int(ends[-1]))
@@ -136,37 +114,46 @@ SEGMENT_TYPES = pa.schema(
 )
 
 
-def _to_segments(batches):
-    shard, number = TaskContext.get().partitionId(), 0
-    docs, sizes, ids, held, width = [], [], [], 0, 0
+def _to_segments(path: str):
+    """Encode rows that come in order of their ids, and cut them into segments."""
+
+    def run(batches):
+        shard, number = TaskContext.get().partitionId(), 0
+        encoder = word_encoder(path)
+        size = encoder.kind.itemsize
+        end = np.array([END_ID], dtype=encoder.kind).tobytes()
+        docs, sizes, ids, held = [], [], [], 0
 
-    def row():
-        return pa.RecordBatch.from_pylist([_segment_row(shard, number, docs, sizes, ids, width)], SEGMENT_TYPES)
+        def row():
+            return pa.RecordBatch.from_pylist([_segment_row(shard, number, docs, sizes, ids, size)], SEGMENT_TYPES)
 
-    for batch in batches:
-        for record in batch.to_pylist():
-            if docs and held + record["n_tokens"] > SEGMENT_IDS:
-                yield row()
-                number += 1
-                docs, sizes, ids, held = [], [], [], 0
-            docs.append(record["doc_id"])
-            sizes.append(record["n_tokens"])
-            ids.append(record["ids"])
-            held, width = held + record["n_tokens"], record["width"]
-    if docs:
-        yield row()
+        for batch in slices(batches, "text"):
+            encoded = encoder.batch(batch.column("text").to_pylist())
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+                count = len(own) // size + 1
+                if docs and held + count > SEGMENT_IDS:
+                    yield row()
+                    number += 1
+                    docs, sizes, ids, held = [], [], [], 0
+                docs.append(doc_id)
+                sizes.append(count)
+                ids.append(own + end)
+                held += count
+        if docs:
+            yield row()
+
+    return run
 
 
 def write_store(documents: DataFrame, folder: str, path: str | None = None) -> None:
     """Encode all documents and write them to a store, in ascending order of their ids."""
     spark = documents.sparkSession
-    encode_documents(documents, path).write.parquet(f"{folder}/encoded")
-    encoded = spark.read.parquet(f"{folder}/encoded")
-    total = encoded.agg(F.sum("n_tokens")).first()[0] or 0
-    shards = max(1, -(-total // SHARD_IDS))
-    ordered = encoded.repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
-    ordered.mapInArrow(_to_segments, SEGMENT).write.parquet(f"{folder}/segments")
+    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-total // SHARD_BYTES))
+    ordered = narrow.repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
+    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    ordered.mapInArrow(_to_segments(path or tokenizer_path()), SEGMENT).write.parquet(f"{folder}/segments")
     sizes = spark.read.parquet(f"{folder}/segments").select("shard", "segment", "n_ids")
     # One row for each shard; the sum over them is the only step in one task.
     by_shard = sizes.groupBy("shard").agg(F.sum("n_ids").alias("in_shard"))
