@@ -38,6 +38,9 @@ SALTS = 4
 EDGE = np.uint64(0x5EED5EED5EED5EED)  # stands for the start and the end of a document
 ONE = np.uint64(1)
 SUMMARY = -1
+#: Bytes of a key that are sent; a range holds about a block's number of keys at any size
+#: of the corpus, so 48 bits tell them apart.
+KEY_BYTES = 6
 
 
 def _sequence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -108,6 +111,16 @@ def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return (((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
 
 
+def short_keys(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+
+
+def long_keys(held: bytes) -> np.ndarray:
+    out = np.zeros((len(held) // KEY_BYTES, 8), dtype=np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(held, dtype=np.uint8).reshape(-1, KEY_BYTES)
+    return out.view("<u8").ravel()
+
+
 PACKED = "range int, block int, keys binary, everywhere binary, target binary"
 SUMMED = "block int, range int, everywhere binary, target binary, words long, tokens long, target_tokens long"
 
@@ -126,7 +139,7 @@ def _count(ranges: int):
                     {
                         "range": r,
                         "block": number,
-                        "keys": block.keys[s].tobytes(),
+                        "keys": short_keys(block.keys[s]),
                         "everywhere": everywhere[s].astype("<u4").tobytes(),
                         "target": target[s].astype("<u4").tobytes(),
                     }
@@ -148,7 +161,7 @@ SUMMED_TYPES = pa.schema(
 def _add(rows: pa.Table) -> pa.Table:
     number = rows.column("range")[0].as_py()
     blocks = rows.column("block").to_pylist()
-    keys = [np.frombuffer(x, "<u8") for x in rows.column("keys").to_pylist()]
+    keys = [long_keys(x) for x in rows.column("keys").to_pylist()]
     kinds, at = np.unique(np.concatenate(keys), return_inverse=True)
 
     def total(name: str) -> np.ndarray:
