@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 BASE = 0xD1342543DE82EF95
 INVERSE = pow(BASE, -1, 2**64)
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -46,7 +46,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, kept for the usual slice size."""
-    usual = 1 << 21
+    usual = 1 << 20
     if size <= usual:
         return _powers(usual)
     return _powers.__wrapped__(size)

@@ -132,8 +132,13 @@ def _sketch_batches(batches):
 def _set_batches(batches):
     for batch in slices(batches, "text"):
         sets = shingle_sets(*word_hashes(batch.column("text")))
+        # Documents may share an id; only the text with the class's set counts.
+        own = [(c, s) for c, s in zip(batch.column("class").to_pylist(), sets, strict=True) if len(s) and _digest(s) == c]
         yield pa.RecordBatch.from_pydict(
-            {"class": batch.column("class"), "items": pa.array([s.tobytes() for s in sets], pa.binary())}
+            {
+                "class": pa.array([c for c, _ in own], pa.int64()),
+                "items": pa.array([s.tobytes() for _, s in own], pa.binary()),
+            }
         )
 
 
@@ -261,9 +266,7 @@ class NearDuplicates:
         """Full sets of some classes, made anew from one text of each."""
         chosen = needed.join(self.classes.select("class", "doc_id"), "class")
         texts = self.documents.join(chosen, "doc_id").select("class", "text")
-        made = texts.mapInArrow(_set_batches, "class long, items binary")
-        # Documents may share an id; only the text with the class's set counts.
-        return made.where(F.expr("length(items) > 0")).mapInArrow(_own_sets, "class long, items binary").dropDuplicates(["class"])
+        return texts.mapInArrow(_set_batches, "class long, items binary").dropDuplicates(["class"])
 
     def _result(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
         grouped = self.classes.select("class", "doc_id").join(labels, F.col("class") == F.col("node"), "left")
@@ -277,15 +280,6 @@ class NearDuplicates:
         ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _own_sets(batches):
-    for batch in batches:
-        keep = [
-            _digest(np.frombuffer(items, np.uint64)) == one
-            for one, items in zip(batch.column("class").to_pylist(), batch.column("items").to_pylist(), strict=True)
-        ]
-        yield batch.filter(pa.array(keep, pa.bool_()))
-
-
 def _item_rows(batches):
     for batch in batches:
         for one, held in zip(batch.column("class").to_pylist(), batch.column("items").to_pylist(), strict=True):
