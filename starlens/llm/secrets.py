@@ -44,7 +44,7 @@ HEX = re.compile(r"[0-9a-f]+")
 HINTS = (b"passw", b"secret", b"token", b"api")
 
 LEAST_LENGTH = 20
-UNIFORM_LEVEL = 0.01
+UNIFORM_LEVEL = 1e-3
 FALSE_DISCOVERIES = 1e-3
 DECIMAL, LOWERS, UPPERS = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TOKEN = LOWERS + UPPERS + DECIMAL + "+/_-="
