@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Remembered words; beyond it only those of the present batch are kept.
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 600_000
 #: Words that go to the library in one string.
 TOGETHER = 512
 
