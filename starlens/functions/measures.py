@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 
 def whole_rating(col: Column) -> Column:
-    """Nearest whole number, halves to the even side."""
-    return F.bround(col.try_cast("double")).cast("int")
+    """Nearest whole number, halves to the even side; NULL if it is none that fits."""
+    return F.bround(col.try_cast("double")).try_cast("int")
 
 
 def mean(total: Column, n: Column, digits: int = 4) -> Column:

@@ -69,7 +69,8 @@ def evaluation_row(predictions: DataFrame, model: str, model_type: str) -> DataF
 
 
 def confusion(predictions: DataFrame, labels: Sequence[float] = RATING_LABELS) -> DataFrame:
-    """Counts for every pair of ``labels``, zero where a pair does not occur."""
+    """Counts for every pair of ``labels``, zero where a pair does not occur, and for
+    every other pair that occurs, so the counts add up to the rows."""
     # The grid is built from the given labels, which are a handful of classes.
     values = F.array(*map(F.lit, labels))
     grid = (
@@ -82,9 +83,13 @@ def confusion(predictions: DataFrame, labels: Sequence[float] = RATING_LABELS) -
         grid.join(
             pairs,
             (F.col("actual") == F.col("label")) & (F.col("predicted") == F.col("prediction")),
-            "left",
+            "full",
+        )
+        .select(
+            F.coalesce("actual", "label").alias("actual"),
+            F.coalesce("predicted", "prediction").alias("predicted"),
+            F.coalesce("n", F.lit(0)).alias("count"),
         )
-        .select("actual", "predicted", F.coalesce("n", F.lit(0)).alias("count"))
         .orderBy("actual", "predicted")
     )
 

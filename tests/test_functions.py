@@ -106,3 +106,18 @@ def test_share_rounds_twice(spark):
     assert got == [0.1715, 0.3333, 0.0]
     sql = "SELECT CAST(ROUND(AVG(CASE WHEN id < 171446 THEN 1.0 ELSE 0.0 END), 4) AS DOUBLE) FROM range(1000000)"
     assert spark.sql(sql).first()[0] == 0.1715
+
+
+def test_a_rating_that_is_no_number_is_null(spark):
+    from starlens.functions.measures import whole_rating
+
+    rows = spark.createDataFrame([("NaN",), ("4.5",), ("x",), ("1e300",), (None,)], "r string")
+    assert [r[0] for r in rows.select(whole_rating(F.col("r"))).collect()] == [None, 4, None, None, None]
+
+
+def test_confusion_counts_every_row(spark):
+    from starlens.operators.evaluation import confusion
+
+    rows = spark.createDataFrame([(0.0, 1.0), (6.0, 6.0), (1.0, 1.0), (1.0, 1.0)], "label double, prediction double")
+    found = {(r["actual"], r["predicted"]): r["count"] for r in confusion(rows).collect()}
+    assert sum(found.values()) == 4 and found[0.0, 1.0] == 1 and found[1.0, 1.0] == 2 and found[2.0, 3.0] == 0
