@@ -22,15 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items in at least as many partitions as there are cores.
+    """Line items by order, which is also how the join with the orders wants them.
 
-    A small file has one row group and is read by one task, which would then do
-    all the work on the texts as well. Files of a real size have more splits
-    than cores and are left as they are.
+    The small files of the given tables have one row group each, so their one
+    reading task would do all the work on the texts as well.
     """
-    df = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "l_orderkey")
+    return table(spark, sf_dir, "lineitem").repartition("l_orderkey")
 
 
 def facts(spark: SparkSession, sf_dir: str, *columns: str, copies: bool = False) -> DataFrame:
@@ -56,10 +53,13 @@ def facts(spark: SparkSession, sf_dir: str, *columns: str, copies: bool = False)
     again = F.when(F.col("copy") == 1, " again").otherwise("")
     millis = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
     asin = F.col("l_suppkey").cast("string")
+    # A tenth of the parts is sold under a key that no product has.
+    part = F.col("l_partkey").cast("string")
+    parent = F.when(F.col("l_partkey") % 10 == 9, F.concat(F.lit("none-"), part)).otherwise(part)
     votes = F.when(F.col("l_discount") != 0, (F.col("l_tax") * 100 + 0.5).cast("int") - 1)
     return df.withColumn("copy", copy).select(
         F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_partkey").cast("string").alias("parent_asin"),
+        parent.alias("parent_asin"),
         asin.alias("asin"),
         (F.col("l_quantity").cast("int") % 6).alias("rating"),
         ((F.col("l_quantity").cast("int") % 11) / 2.0).cast("double").alias("half_rating"),
@@ -102,14 +102,13 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str, copies: bool = Fals
 
 
 def landing_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product rows. A tenth of the parts have none, so that reviews of unknown products occur."""
+    """Product rows, one for each part."""
     key = F.col("p_partkey")
     price = F.concat(
         F.lit("$"), F.round((F.col("p_retailprice") - 900) * 4, 2).cast("decimal(12,2)").cast("string")
     )
     return (
         table(spark, sf_dir, "part")
-        .filter(key % 10 != 9)
         .select(
             key.cast("string").alias("parent_asin"),
             F.when(key % 13 != 0, F.col("p_type")).alias("main_category"),

@@ -48,13 +48,16 @@ def ratio6(part: str, whole: str) -> str:
     )
 
 
+PARENT = "CASE WHEN l.l_partkey % 10 = 9 THEN 'none-' ELSE '' END || CAST(l.l_partkey AS VARCHAR)"
+
+
 def facts(copies: bool = False) -> str:
     again = "UNION ALL SELECT *, 1 AS copy FROM lineitem WHERE l_orderkey % 50 = 0" if copies else ""
     return f"""
     line_copies AS (SELECT *, 0 AS copy FROM lineitem {again}),
     facts AS (
       SELECT CAST(o.o_custkey AS VARCHAR) AS user_id,
-             CAST(l.l_partkey AS VARCHAR) AS parent_asin,
+             {PARENT} AS parent_asin,
              CAST(l.l_suppkey AS VARCHAR) AS asin,
              CAST(l.l_quantity AS INT) % 6 AS rating,
              CAST((CAST(l.l_quantity AS INT) % 11) / 2.0 AS DOUBLE) AS half_rating,
@@ -70,7 +73,7 @@ def facts(copies: bool = False) -> str:
                   THEN '["img/' || CAST(l.l_suppkey AS VARCHAR) || '"]' END AS images_json,
              l.l_linenumber AS line, l.l_discount AS discount, l.l_tax AS tax,
              CAST(l.l_quantity AS INT) AS quantity,
-             sha256(concat(CAST(o.o_custkey AS VARCHAR), '|', CAST(l.l_partkey AS VARCHAR), '|',
+             sha256(concat(CAST(o.o_custkey AS VARCHAR), '|', {PARENT}, '|',
                            CAST(epoch_ms(l.l_shipdate) AS VARCHAR), '|',
                            CAST(l.l_suppkey AS VARCHAR))) AS review_id
       FROM line_copies l
@@ -95,7 +98,7 @@ PRODUCTS = """
              CASE WHEN p_partkey % 17 = 0 THEN '  ' ELSE p_brand END AS store,
              '["' || p_brand || '"]' AS features_text, CAST(NULL AS VARCHAR) AS description_text,
              '["' || p_type || '"]' AS categories_json, CAST(NULL AS VARCHAR) AS details_json
-      FROM part WHERE p_partkey % 10 <> 9),
+      FROM part),
     metadata AS (
       SELECT parent_asin, main_category, title, average_rating, rating_number,
              CASE WHEN price_raw IS NULL OR trim(price_raw) = '' THEN NULL
@@ -348,25 +351,53 @@ ENCODED = f"""named AS (
         (5,'review_month','number')) v(idx, name, kind)
       UNION ALL SELECT 6 + idx, name, kind FROM nb_slots)"""
 
-# Positive count, non-number count and sum per slot of the full vector.
-SLOT_TOTALS = """long AS (
-      SELECT 0 AS idx, CAST(helpful_vote AS DOUBLE) AS v FROM encoded
-      UNION ALL SELECT 1, CAST(price AS DOUBLE) FROM encoded
-      UNION ALL SELECT 2, average_rating FROM encoded
-      UNION ALL SELECT 3, CAST(rating_number AS DOUBLE) FROM encoded
-      UNION ALL SELECT 4, CAST(review_year AS DOUBLE) FROM encoded
-      UNION ALL SELECT 5, CAST(review_month AS DOUBLE) FROM encoded
-      UNION ALL SELECT 6, CAST(flag AS DOUBLE) FROM encoded
-      UNION ALL SELECT 7 + category_idx, 1.0 FROM encoded
-      UNION ALL SELECT 8 + (SELECT COUNT(*) FROM categories) + store_idx, 1.0 FROM encoded),
-    totals AS (
-      SELECT idx, COUNT(*) FILTER (WHERE v > 0) AS positive,
-             COUNT(*) FILTER (WHERE v IS NULL) AS missing,
-             ROUND(SUM(coalesce(v, 0)), 2) AS total
-      FROM long GROUP BY idx)"""
-SLOT_SELECT = """SELECT CAST(s.idx AS INT) AS idx, coalesce(t.positive, 0) AS positive,
-    {missing} AS not_a_number, coalesce(t.total, 0.0) AS total
-    FROM slots s LEFT JOIN totals t ON s.idx = t.idx"""
+NUMBERS = (
+    "helpful_vote", "price", "average_rating", "rating_number", "review_year", "review_month",
+)
+
+
+def discrete(first: int) -> list[str]:
+    """Slot and value of the flag and the two one-hot parts, from slot ``first`` on."""
+    return [
+        f"{first} AS idx, CAST(flag AS DOUBLE) AS v",
+        f"{first + 1} + category_idx, 1.0",
+        f"{first + 2} + (SELECT COUNT(*) FROM categories) + store_idx, 1.0",
+    ]
+
+
+def cells(vector: str, slots: list[str]) -> str:
+    """Non-zero slots by row; a missing number is shown as -1."""
+    long = " UNION ALL ".join(f"SELECT review_id, label, {s} FROM encoded" for s in slots)
+    return f"""SELECT review_id, CAST(label AS DOUBLE) AS label, '{vector}' AS vector,
+        CAST(idx AS INT) AS idx, coalesce(round(v, 2), -1.0)::DOUBLE AS value
+        FROM (SELECT * FROM ({long}) t(review_id, label, idx, v)) WHERE v IS NULL OR v <> 0"""
+
+
+FULL = [f"{i}, CAST({c} AS DOUBLE)" for i, c in enumerate(NUMBERS)] + discrete(6)
+# The first value is spoilt by label. Odd months keep eight slots; the others have one too many.
+SPOILT = [
+    "0, CASE WHEN label IN (1, 2) THEN 0.0 ELSE CAST(helpful_vote AS DOUBLE) END",
+    *[f"{i}, coalesce(CAST({c} AS DOUBLE), 0.0)" for i, c in enumerate(NUMBERS) if i],
+    "6, CAST(flag AS DOUBLE)",
+    "7 + category_idx, CASE WHEN review_month % 2 = 1 AND category_idx > 0 THEN 0.0 ELSE 1.0 END",
+    "8 + (SELECT COUNT(*) FROM categories) + store_idx,"
+    " CASE WHEN review_month % 2 = 1 THEN 0.0 ELSE 1.0 END",
+]
+
+
+def vector_text(names: list[str]) -> str:
+    """The whole vector as the digest of its numbers with two digits."""
+    n = "(SELECT COUNT(*) FROM {})"
+    slots = [
+        *[f"printf('%.2f', coalesce(CAST({c} AS DOUBLE), 0.0))" for c in names],
+        "printf('%.2f', CAST(flag AS DOUBLE))",
+        f"repeat('0.00,', category_idx) || '1.00,' || repeat('0.00,', {n.format('categories')}"
+        " - category_idx - 1) || '0.00'",
+        f"repeat('0.00,', store_idx) || '1.00,' || repeat('0.00,', {n.format('stores')}"
+        " - store_idx - 1) || '0.00'",
+    ]
+    return "md5(concat_ws(',', " + ", ".join(slots) + "))"
+
 
 KEY_TEXT = "parent_asin || '|' || review_id"
 BAYES = f"""parts AS (SELECT *, {fraction(KEY_TEXT, 42)} < 0.7 AS in_train FROM encoded),
@@ -674,7 +705,8 @@ STATEMENTS: dict[str, str] = {
     # Filters and duplicates.
     "stg_semi_join": base(
         """SELECT review_id, parent_asin, user_id, asin, rating, review_title,
-             epoch AS review_timestamp, helpful_vote, verified_purchase, images_json
+             epoch AS review_timestamp, helpful_vote, verified_purchase, images_json,
+             md5(review_text) AS text_md5
            FROM reviews WHERE parent_asin IN (SELECT parent_asin FROM metadata)"""
     ),
     "stg_dedupe": base(staged("deduped", ts="epoch"), True, DEDUPED),
@@ -705,7 +737,8 @@ STATEMENTS: dict[str, str] = {
     ),
     "wh_reviews_bucketed": base(
         """SELECT review_id, parent_asin, user_id, asin, rating, review_title, review_timestamp,
-             helpful_vote, verified_purchase, images_json, review_year, review_month FROM reviews"""
+             helpful_vote, verified_purchase, images_json, review_year, review_month,
+             md5(review_text) AS text_md5 FROM reviews"""
     ),
     "wh_metadata_bucketed": base(f"SELECT {META_COLUMNS} FROM metadata"),
     "ft_ml_features": base(
@@ -749,7 +782,8 @@ STATEMENTS: dict[str, str] = {
              CAST(greatest(coalesce({safe_int("helpful_vote")}, 0), 0) AS INT) AS helpful_vote,
              CASE WHEN lower({strip("verified_purchase")}) IN ('1','true','yes','y') THEN 'true'
                   ELSE 'false' END AS verified_purchase,
-             CAST(stars AS INT) AS label, split FROM kept"""
+             CAST(stars AS INT) AS label, split, md5({strip("review_text")}) AS text_md5
+           FROM kept"""
     ),
     "lg_hash_split": base(
         f"""SELECT parent_asin, review_id,
@@ -807,22 +841,17 @@ STATEMENTS: dict[str, str] = {
              CAST(store_idx AS DOUBLE) AS store_bucketed_idx FROM encoded"""
     ),
     "ft_one_hot": encoded(
-        """SELECT 'main_category_clean' AS category, CAST(idx AS INT) AS idx,
-             (SELECT COUNT(*) FROM encoded e WHERE e.category_idx = c.idx) AS positive
-           FROM (SELECT idx FROM categories UNION ALL SELECT COUNT(*) FROM categories) c
-           UNION ALL
-           SELECT 'store_bucketed', CAST(idx AS INT),
-             (SELECT COUNT(*) FROM encoded e WHERE e.store_idx = s.idx)
-           FROM (SELECT idx FROM stores UNION ALL SELECT COUNT(*) FROM stores) s"""
+        cells("main_category_clean_ohe", ["category_idx, 1.0"])
+        + " UNION ALL "
+        + cells("store_bucketed_ohe", ["store_idx, 1.0"])
     ),
     "ft_assemble": encoded(
-        SLOT_SELECT.format(missing="coalesce(t.missing, 0)"), SLOT_TOTALS
-    ),
-    "ft_sanitize_vectors": encoded(
-        SLOT_SELECT.format(missing="CAST(0 AS BIGINT)"), SLOT_TOTALS
+        cells("features", FULL) + " UNION ALL " + cells("features_nb", discrete(0))
     ),
+    "ft_sanitize_vectors": encoded(cells("features", SPOILT)),
     "ft_vector_normalize": encoded(
-        SLOT_SELECT.format(missing="CAST(0 AS BIGINT)"), SLOT_TOTALS
+        f"""SELECT CAST(label AS DOUBLE) AS label, {vector_text(list(NUMBERS))} AS features,
+             {vector_text([])} AS features_nb, COUNT(*) AS n FROM encoded GROUP BY 1, 2, 3"""
     ),
     "ft_manifest": encoded(
         """SELECT 'features' AS vector, CAST(idx AS INT) AS idx, name FROM slots
@@ -866,6 +895,10 @@ STATEMENTS: dict[str, str] = {
     "ml_confusion": base(
         "SELECT actual, predicted, count FROM confusion", False, FEATURES, CATALOGUE, CONFUSION
     ),
+    "ml_confusion_pairs": base(
+        "SELECT actual, predicted, count FROM confusion WHERE count > 0",
+        False, FEATURES, CATALOGUE, CONFUSION,
+    ),
     "ml_confusion_norm": base(
         f"""SELECT actual, predicted, count, {ratio6("count", "total")} AS share
            FROM (SELECT *, CAST(SUM(count) OVER (PARTITION BY actual) AS BIGINT) AS total

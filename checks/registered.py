@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +25,7 @@ STAGED = schemas.column_names(schemas.STAGED_REVIEWS)
 
 # Tables made here carry a prefix, so that they replace no table of the user's.
 CHECK_TABLE = "starlens_check_"
+BUCKETS = 8
 
 
 def register(query: Query) -> Query:
@@ -189,12 +190,11 @@ def src_table_fallback(spark, sf_dir):
 def snk_json_split(spark, sf_dir):
     path = scratch_path(spark, "split")
     rows = profiling.hash_split(profiling.clean_records(adapter.text_rows(spark, sf_dir)))
-    rows = rows.drop("review_text")
     writers.write_split(rows, path, fmt="json")
     parts = [
         writers.read_split(spark, path, part, rows.schema, fmt="json") for part in ("train", "test")
     ]
-    return parts[0].unionByName(parts[1])
+    return digest(parts[0].unionByName(parts[1]))
 
 
 # --- staging ------------------------------------------------------------------------
@@ -202,7 +202,7 @@ def snk_json_split(spark, sf_dir):
 
 @register
 def stg_review_id(spark, sf_dir):
-    lines = adapter.review_lines(spark, sf_dir, with_text=False)
+    lines = adapter.review_lines(spark, sf_dir)
     return staging.stage_reviews(lines).select("review_id", "user_id", "parent_asin", "asin")
 
 
@@ -324,8 +324,8 @@ def lg_safe_int(spark, sf_dir):
 
 @register
 def stg_semi_join(spark, sf_dir):
-    reviews = adapter.landing_reviews(spark, sf_dir)
-    return staging.keep_known_parents(reviews, adapter.metadata(spark, sf_dir))
+    reviews = adapter.landing_reviews(spark, sf_dir, *STAGED)
+    return digest(staging.keep_known_parents(reviews, adapter.metadata(spark, sf_dir)))
 
 
 DEDUPE_ORDER = ("review_timestamp", "helpful_vote", "review_title")
@@ -374,15 +374,15 @@ def wh_reviews_optimized(spark, sf_dir):
 def wh_reviews_bucketed(spark, sf_dir):
     path = scratch_path(spark, "reviews_bucketed")
     spark.sql(f"DROP TABLE IF EXISTS {CHECK_TABLE}reviews")
-    landing = adapter.landing_reviews(spark, sf_dir)
-    return warehouse.build_bucketed_reviews(landing, CHECK_TABLE + "reviews", path)
+    landing = adapter.landing_reviews(spark, sf_dir, *STAGED)
+    return digest(warehouse.build_bucketed_reviews(landing, CHECK_TABLE + "reviews", path, BUCKETS))
 
 
 @register
 def wh_metadata_bucketed(spark, sf_dir):
     path = scratch_path(spark, "metadata_bucketed")
     landing = adapter.landing_metadata(spark, sf_dir)
-    return warehouse.build_bucketed_metadata(landing, CHECK_TABLE + "metadata", path)
+    return warehouse.build_bucketed_metadata(landing, CHECK_TABLE + "metadata", path, BUCKETS)
 
 
 @register
@@ -510,27 +510,48 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def bucketed(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    cleaned = features.clean_categories(features.index_label(stored_features(spark, sf_dir)))
-    return features.bucket_top_k(cleaned, "store_clean", k, out="store_bucketed")
+def _two_digits(value):
+    return F.format_string("%.2f", value)
+
+
+# The given parts have 25 brands, so that ten of them leave some to fold.
+TOP_STORES = 10
+
+
+def bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucketed rows, written once and read back: the indexes are fitted from them."""
+    path = scratch_path(spark, "ml_rows")
+    writers.write_parquet(features.bucket_rows(stored_features(spark, sf_dir), TOP_STORES), path)
+    return spark.read.parquet(path)
 
 
 def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.build_dataset(stored_features(spark, sf_dir), store_top_k=10)
-
-
-def slot_totals(df: DataFrame, col: str) -> DataFrame:
-    """Per slot: rows with a positive value, rows without a number, rounded sum."""
-    value = F.col("value")
-    number = F.when(~F.isnan(value), value)
-    return (
-        df.select(F.posexplode(vector_to_array(F.col(col))).alias("idx", "value"))
-        .groupBy("idx")
-        .agg(
-            F.count_if(number > 0).alias("positive"),
-            F.count_if(F.isnan(value)).alias("not_a_number"),
-            F.round(F.coalesce(F.sum(number), F.lit(0.0)), 2).alias("total"),
+    """Vectors, written once and read back: every fit reads them several times."""
+    path = scratch_path(spark, "ml_vectors")
+    writers.write_parquet(features.encode_rows(bucketed(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+def cells(df: DataFrame, *vectors: str) -> DataFrame:
+    """(review_id, vector, idx, value) of every slot that is not zero.
+
+    A review may occur as several line items, so rows are told apart by their
+    label and votes as well.
+    """
+    parts = [
+        df.select(
+            "review_id",
+            "label",
+            F.lit(name).alias("vector"),
+            F.posexplode(vector_to_array(F.col(name))).alias("idx", "value"),
         )
+        for name in vectors
+    ]
+    long = parts[0]
+    for part in parts[1:]:
+        long = long.unionByName(part)
+    return long.filter(F.col("value") != 0).withColumn(
+        "value", F.when(~F.isnan("value"), F.round("value", 2)).otherwise(-1.0)
     )
 
 
@@ -560,17 +581,13 @@ def ft_string_index(spark, sf_dir):
 @register
 def ft_one_hot(spark, sf_dir):
     encoded, _ = features.index_and_encode(bucketed(spark, sf_dir))
-    parts = [
-        slot_totals(encoded, f"{c}_ohe").select(F.lit(c).alias("category"), "idx", "positive")
-        for c in ("main_category_clean", "store_bucketed")
-    ]
-    return parts[0].unionByName(parts[1])
+    return cells(encoded, "main_category_clean_ohe", "store_bucketed_ohe")
 
 
 @register
 def ft_assemble(spark, sf_dir):
     encoded, _ = features.index_and_encode(bucketed(spark, sf_dir))
-    return slot_totals(features.assemble(encoded), "features")
+    return cells(features.assemble(encoded), "features", "features_nb")
 
 
 @register
@@ -581,9 +598,24 @@ def ft_random_split(spark, sf_dir):
 
 @register
 def ft_sanitize_vectors(spark, sf_dir):
+    """Vectors with unusable values, cut by two slots on odd votes' reviews and padded on others.
+
+    Rows with a label of 1 get a negative, those of 2 an infinite first value.
+    """
     encoded, _ = features.index_and_encode(bucketed(spark, sf_dir))
-    vectors = features.assemble(encoded)
-    return slot_totals(features.sanitize(vectors, features.vector_dimension(vectors)), "features")
+    rows = features.assemble(encoded)
+    width = features.vector_dimension(rows)
+    spoilt = (
+        F.when(F.col("label") == 1, F.lit(-3.0))
+        .when(F.col("label") == 2, F.lit(float("inf")))
+        .otherwise(F.col("helpful_vote").cast("double"))
+    )
+    slots = vector_to_array(F.col("features"))
+    longer = F.concat(F.array(spoilt), F.slice(slots, 2, width), F.array(F.lit(9.0)))
+    shorter = F.concat(F.array(spoilt), F.slice(slots, 2, 7))
+    odd = F.when(F.col("review_month") % 2 == 1, shorter).otherwise(longer)
+    changed = rows.withColumn("features", array_to_vector(odd))
+    return cells(features.sanitize(changed, width), "features")
 
 
 @register
@@ -593,9 +625,18 @@ def ft_manifest(spark, sf_dir):
 
 @register
 def ft_vector_normalize(spark, sf_dir):
+    """Vectors through JSON and back; the review's id is carried as a constant of its split."""
     path = scratch_path(spark, "vectors")
     dataset(spark, sf_dir).select("features", "features_nb", "label").write.json(path)
-    return slot_totals(features.normalize_vectors(spark.read.json(path)), "features")
+    back = features.normalize_vectors(spark.read.json(path))
+    # Whole vectors are compared: each one as text, with the number of rows that have it.
+    shown = [
+        F.md5(F.concat_ws(",", F.transform(vector_to_array(F.col(c)), _two_digits))).alias(c)
+        for c in ("features", "features_nb")
+    ]
+    return back.select("label", *shown).groupBy("label", "features", "features_nb").agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
 # --- models and evaluation ----------------------------------------------------------
@@ -617,7 +658,7 @@ def fitted_bayes(spark: SparkSession, sf_dir: str):
 
 def bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _, test, labels = fitted_bayes(spark, sf_dir)
-    return models.predict(model, test, labels)
+    return models.predict_classes(model, test, labels)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 8) -> DataFrame:
@@ -650,10 +691,9 @@ def ml_predict(spark, sf_dir):
 @register
 def ml_cross_validate(spark, sf_dir):
     train, _ = features.key_split(dataset(spark, sf_dir))
-    rf, nb = models.rf_estimator(), models.nb_estimator(models.nb_column(train))
-    # The forest grid is a small one here; the default grid fits 13 forests.
+    rf, nb = models.rf_estimator(), models.nb_estimator()
     fitted = {
-        "random_forest": models.cross_validate(rf, models.rf_grid(rf, (4,), (3, 5)), train),
+        "random_forest": models.cross_validate(rf, models.rf_grid(rf), train),
         "naive_bayes": models.cross_validate(nb, models.nb_grid(nb), train),
     }
     rows = [(name, i, float(f1)) for name, cv in fitted.items() for i, f1 in enumerate(cv.avgMetrics)]
@@ -667,7 +707,7 @@ def ml_model_io(spark, sf_dir):
     models.save_model(model, path)
     models.save_model(model, path)
     loaded = type(model).load(path)
-    return models.predict(loaded, test, labels)
+    return models.predict_classes(loaded, test, labels)
 
 
 @register
@@ -681,7 +721,7 @@ def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = features.key_split(data)
     rf = models.rf_estimator()
     model = rf.fit(train, models.rf_grid(rf)[0])
-    return models.rf_importance(spark, model, features.vector_names(data))
+    return models.rf_importance(model, features.feature_manifest(data))
 
 
 @register
@@ -696,13 +736,12 @@ def ml_top_importance(spark, sf_dir):
 
 def theta(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[float]]:
     model, train, _, labels = fitted_bayes(spark, sf_dir)
-    names = features.vector_names(train, "features_nb")
-    return models.nb_theta(spark, models.naive_bayes_of(model), names, labels), labels
+    return models.nb_theta(model.stages[-1], features.feature_manifest(train), labels), labels
 
 
 def priors(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _, _, labels = fitted_bayes(spark, sf_dir)
-    return models.nb_priors(spark, models.naive_bayes_of(model), labels)
+    return models.nb_priors(spark, model.stages[-1], labels)
 
 
 @register
@@ -750,6 +789,11 @@ def ml_confusion(spark, sf_dir):
     return evaluation.confusion(catalogue_predictions(spark, sf_dir))
 
 
+@register
+def ml_confusion_pairs(spark, sf_dir):
+    return evaluation.confusion_pairs(ml_confusion(spark, sf_dir))
+
+
 @register
 def ml_confusion_norm(spark, sf_dir):
     return evaluation.confusion_normalized(ml_confusion(spark, sf_dir))

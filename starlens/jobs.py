@@ -116,7 +116,8 @@ def prepare_dataset(
 ) -> DataFrame:
     """Store vectors with their split and the slot names under ``out``; return the dataset."""
     spark = prepare(table.sparkSession)
-    data = features.build_dataset(table, store_top_k)
+    writers.write_parquet(features.bucket_rows(table, store_top_k), f"{out}/rows")
+    data = features.encode_rows(spark.read.parquet(f"{out}/rows"))
     writers.write_parquet(features.feature_manifest(data), f"{out}/manifest")
     split = features.with_split(staging.sample(data, sample_fraction, seed), train_ratio, seed)
     writers.write_split(split.select("features", "features_nb", "label", "split"), f"{out}/dataset")
@@ -140,10 +141,9 @@ def train_models(
     prepare(spark)
     train = writers.read_split(spark, f"{path}/dataset", "train")
     test = writers.read_split(spark, f"{path}/dataset", "test")
-    names = _slot_names(spark.read.parquet(f"{path}/manifest"))
+    manifest = spark.read.parquet(f"{path}/manifest")
     labels = models.class_labels(train)
-    column = models.nb_column(train)
-    rf, nb = models.rf_estimator(), models.nb_estimator(column)
+    rf, nb = models.rf_estimator(), models.nb_estimator("features_nb")
     rows = []
     for model, kind, estimator, grid in (
         ("model1", "random_forest", rf, models.rf_grid(rf, trees, depths)),
@@ -151,28 +151,23 @@ def train_models(
     ):
         best = models.cross_validate(estimator, grid, train, folds, parallelism).bestModel
         models.save_model(best, f"{out}/models/{model}")
-        writers.write_parquet(models.predict(best, test, labels), f"{out}/{model}_predictions")
+        if kind == "naive_bayes":
+            predicted = models.predict_classes(best, test, labels)
+            bayes = best.stages[-1]
+            # Classes times slots may be many rows; the priors are one row per class.
+            writers.write_csv(models.nb_theta(bayes, manifest, labels), f"{out}/nb_theta_long.csv")
+            priors = models.nb_priors(spark, bayes, labels)
+            writers.write_single_csv(priors, f"{out}/nb_class_priors.csv")
+        else:
+            predicted = models.predict(best, test)
+            ranked = models.rf_importance(best, manifest)
+            writers.write_csv(ranked, f"{out}/rf_feature_importance.csv")
+        writers.write_parquet(predicted, f"{out}/{model}_predictions")
         predictions = spark.read.parquet(f"{out}/{model}_predictions")
         rows.append(evaluation.evaluation_row(predictions, model, kind))
-        bayes = models.naive_bayes_of(best)
-        if bayes is None:
-            tables = {"rf_feature_importance": models.rf_importance(spark, best, names["features"])}
-        else:
-            tables = {
-                "nb_theta_long": models.nb_theta(spark, bayes, names[column], labels),
-                "nb_class_priors": models.nb_priors(spark, bayes, labels),
-            }
-        for name, table in tables.items():
-            writers.write_single_csv(table, f"{out}/{name}.csv")
+        table = evaluation.confusion_pairs(evaluation.confusion(predictions))
+        writers.write_single_csv(table, f"{out}/{model}_confusion.csv")
     writers.write_parquet(rows[0].unionByName(rows[1]), f"{out}/evaluation")
     scores = spark.read.parquet(f"{out}/evaluation")
     writers.write_single_csv(scores, f"{out}/evaluation.csv")
     return scores
-
-
-def _slot_names(manifest: DataFrame) -> dict[str, list[str]]:
-    """Names by vector; there are as many rows as vector slots."""
-    names: dict[str, list[str]] = {}
-    for row in manifest.orderBy("vector", "idx").collect():
-        names.setdefault(row["vector"], []).append(row["name"])
-    return names

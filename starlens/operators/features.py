@@ -23,9 +23,6 @@ FLAG = "verified_purchase_num"
 CATEGORIES = {"main_category": "main_category_clean", "store": "store_bucketed"}
 STORE_TOP_K = 200
 
-# Indexers hand all categories of a column to the driver.
-MAX_CATEGORIES = 100_000
-
 # A lookup of this many names is a few megabytes, small enough to send to every executor.
 BROADCAST_ROWS = 100_000
 
@@ -49,7 +46,6 @@ def index_label(df: DataFrame, label_col: str = "label") -> DataFrame:
     """Numeric labels as double; other labels by falling frequency, NULL labels dropped."""
     if isinstance(df.schema[label_col].dataType, NumericType):
         return df.withColumn("label", F.col(label_col).cast("double"))
-    check_categories(df, [label_col])
     indexer = StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="skip")
     return indexer.fit(df).transform(df).withColumn("label", F.col("_label")).drop("_label")
 
@@ -109,19 +105,10 @@ def encoder(cols: Sequence[str] = tuple(CATEGORIES.values())) -> Pipeline:
 def index_and_encode(
     df: DataFrame, cols: Sequence[str] = tuple(CATEGORIES.values())
 ) -> tuple[DataFrame, PipelineModel]:
-    check_categories(df, cols)
     model = encoder(cols).fit(df)
     return model.transform(df), model
 
 
-def check_categories(df: DataFrame, cols: Sequence[str], most: int = MAX_CATEGORIES) -> None:
-    """Raise when a column has too many values to index (by an approximate count)."""
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    crowded = [c for c in cols if counts[c] > most]
-    if crowded:
-        raise ValueError(f"more than {most} categories in: {', '.join(crowded)}")
-
-
 def clean_numeric(df: DataFrame) -> DataFrame:
     """Missing, NaN, infinite and negative numbers become zero.
 
@@ -149,12 +136,24 @@ def assemble(df: DataFrame) -> DataFrame:
     return df
 
 
-def build_dataset(features: DataFrame, store_top_k: int = STORE_TOP_K) -> DataFrame:
-    """Feature table to vectors: the whole chain, with the source columns kept."""
+def bucket_rows(features: DataFrame, store_top_k: int = STORE_TOP_K) -> DataFrame:
+    """Feature rows with a numeric label, filled categories and bucketed stores."""
     cleaned = clean_categories(index_label(check_contract(features)))
-    bucketed = bucket_top_k(cleaned, "store_clean", store_top_k, out=CATEGORIES["store"])
-    encoded, _ = index_and_encode(bucketed)
-    return assemble(clean_numeric(encoded))
+    return bucket_top_k(cleaned, "store_clean", store_top_k, out=CATEGORIES["store"])
+
+
+def encode_rows(bucketed: DataFrame) -> DataFrame:
+    """Bucketed rows to vectors, with the source columns kept.
+
+    Fitting the index reads the rows once more: store them first when they are
+    costly to compute.
+    """
+    return assemble(clean_numeric(index_and_encode(bucketed)[0]))
+
+
+def build_dataset(features: DataFrame, store_top_k: int = STORE_TOP_K) -> DataFrame:
+    """Feature table to vectors: the whole chain."""
+    return encode_rows(bucket_rows(features, store_top_k))
 
 
 def random_split(

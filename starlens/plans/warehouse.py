@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -43,57 +43,48 @@ def by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in MONTH])
 
 
-def build_reviews(landing: DataFrame, path: str) -> DataFrame:
-    """Write year/month partitions; only partitions present in ``landing`` are replaced."""
+def _write_months(rows: DataFrame, path: str, replace: str) -> DataFrame:
     (
-        by_month(optimize_reviews(landing))
+        by_month(rows)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", replace)
         .partitionBy(*MONTH)
         .parquet(path)
     )
-    return landing.sparkSession.read.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
-def build_bucketed_reviews(
-    landing: DataFrame, table: str, path: str, buckets: int = 8
-) -> DataFrame:
-    """Catalog table partitioned by year/month and bucketed by product.
+def build_reviews(landing: DataFrame, path: str) -> DataFrame:
+    """Write year/month partitions; what the folder held before is gone."""
+    return _write_months(optimize_reviews(landing), path, "static")
+
+
+def update_reviews(landing: DataFrame, path: str) -> DataFrame:
+    """Replace only the months present in ``landing`` and keep the others."""
+    return _write_months(optimize_reviews(landing), path, "dynamic")
+
+
+def build_bucketed_reviews(landing: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Catalog table partitioned by year/month and bucketed by product, replacing an older one.
 
     Rows with the same product share a bucket, so a join with metadata bucketed
-    the same way needs no exchange. The bucket count caps the tasks of such a
-    join: raise it with the data. A second build replaces only the partitions
-    its rows fall into.
+    the same way needs no exchange. ``buckets`` caps the tasks of such a join and
+    a hot product stays in one of them: take at least the rows' bytes over the
+    memory of a task, and join the plain table where products are skewed.
     """
-    rows = optimize_reviews(landing)
-    spark = landing.sparkSession
-    if spark.catalog.tableExists(table):
-        _replace_partitions(spark, by_month(rows), table)
-    else:
-        (
-            by_month(rows)
-            .write.format("parquet")
-            .option("path", path)
-            .partitionBy(*MONTH)
-            .bucketBy(buckets, "parent_asin")
-            .saveAsTable(table)
-        )
-    return spark.table(table)
-
-
-def _replace_partitions(spark: SparkSession, rows: DataFrame, table: str) -> None:
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
-
-
-def build_bucketed_metadata(
-    landing: DataFrame, table: str, path: str, buckets: int = 8
-) -> DataFrame:
+    (
+        by_month(optimize_reviews(landing))
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .partitionBy(*MONTH)
+        .bucketBy(buckets, "parent_asin")
+        .saveAsTable(table)
+    )
+    return landing.sparkSession.table(table)
+
+
+def build_bucketed_metadata(landing: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
     (
         clean_metadata(landing)
         .repartition(buckets, "parent_asin")
@@ -158,14 +149,8 @@ def build_features(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def write_features(features: DataFrame, path: str) -> DataFrame:
-    (
-        by_month(features)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*MONTH)
-        .parquet(path)
-    )
-    return features.sparkSession.read.parquet(path)
+    """Write year/month partitions of the feature table; months gone from the source go."""
+    return _write_months(features, path, "static")
 
 
 def clean_feature_rows(features: DataFrame) -> DataFrame:

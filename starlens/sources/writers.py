@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# A single-file export runs in one task, so it is kept for small results.
-SINGLE_FILE_ROW_LIMIT = 1_000_000
 
-# A CSV file with quoted line breaks is read by one task, so files are kept small.
-CSV_FILE_ROWS = 500_000
+def write_csv(df: DataFrame, path: str) -> None:
+    """Replace the folder with CSV files of about the advisory partition size each.
+
+    A file with quoted line breaks is read by one task, so files are bounded by
+    their bytes and not by a number of rows of any width.
+    """
+    _write_csv(df.hint("rebalance"), path)
 
 
-def write_csv(df: DataFrame, path: str, file_rows: int = CSV_FILE_ROWS) -> None:
+def _write_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
         .option("header", True)
@@ -22,7 +25,6 @@ def write_csv(df: DataFrame, path: str, file_rows: int = CSV_FILE_ROWS) -> None:
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", file_rows)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .csv(path)
     )
@@ -46,18 +48,15 @@ def write_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame
 
 
 def write_single_csv(df: DataFrame, path: str) -> str:
-    """Write a small result as one CSV file and return the file's path.
+    """Write a result that is small by construction as one CSV file and return its path.
 
-    The result is computed in parallel and stored first. Its rows are counted
-    there, so one that is too big fails instead of passing through one task.
+    Meant for top-N lists and for one row per class or month: the last step runs
+    in one task. The result is computed in parallel and stored first. Use
+    ``write_csv`` for everything whose size follows the data.
     """
     spark, rows, folder = df.sparkSession, path + ".rows", path + ".parts"
     write_parquet(df, rows)
-    stored = spark.read.parquet(rows)
-    if stored.count() > SINGLE_FILE_ROW_LIMIT:
-        # The stored rows stay in ``path.rows`` for the caller to use.
-        raise ValueError(f"more than {SINGLE_FILE_ROW_LIMIT} rows: use write_csv")
-    write_csv(stored.coalesce(1), folder, SINGLE_FILE_ROW_LIMIT)
+    _write_csv(spark.read.parquet(rows).coalesce(1), folder)
     return _rename_part(spark, folder, path, rows)
 
 

@@ -102,21 +102,19 @@ def test_split_folders(spark, tmp_path, data):
 
 def test_naive_bayes_predicts_label_values(data):
     train, test = features.key_split(data)
-    model = models.nb_estimator(models.nb_column(train)).fit(train)
+    model = models.nb_estimator().fit(train)
     labels = models.class_labels(train)
     assert labels == [1.0, 2.0, 3.0, 5.0]
     raw = {r["prediction"] for r in model.transform(test).select("prediction").distinct().collect()}
-    got = {r["prediction"] for r in models.predict(model, test, labels).select("prediction").distinct().collect()}
+    got = {r["prediction"] for r in models.predict_classes(model, test, labels).select("prediction").distinct().collect()}
     assert got == {labels[int(i)] for i in raw}
-    with pytest.raises(ValueError):
-        models.predict(model, test)
 
 
 def test_naive_bayes_tables(spark, data):
     train, _ = features.key_split(data)
-    model = models.naive_bayes_of(models.nb_estimator().fit(train))
+    model = models.nb_estimator().fit(train).stages[-1]
     names, labels = features.vector_names(train, "features_nb"), models.class_labels(train)
-    theta = models.nb_theta(spark, model, names, labels)
+    theta = models.nb_theta(model, features.feature_manifest(train), labels)
     assert theta.count() == len(names) * len(labels)
     total = theta.groupBy("label_value").agg(F.sum(F.exp("log_conditional_probability")).alias("p"))
     assert all(r["p"] == pytest.approx(1) for r in total.collect())
@@ -129,7 +127,7 @@ def test_cross_validated_forest(spark, data):
     rf = models.rf_estimator()
     assert len(models.rf_grid(rf)) == 4 and len(models.nb_grid(models.nb_estimator())) == 4
     best = models.cross_validate(rf, models.rf_grid(rf, (2,), (2,)), train, folds=2).bestModel
-    table = models.rf_importance(spark, best, features.vector_names(data))
+    table = models.rf_importance(best, features.feature_manifest(data))
     got = table.orderBy("rank").collect()
     values = [r["importance"] for r in got]
     assert values == sorted(values, reverse=True) and sum(values) == pytest.approx(1)
@@ -181,7 +179,7 @@ def test_saved_model(tmp_path, data):
         models.save_model(model, str(tmp_path / "m"))
     again = type(model).load(str(tmp_path / "m"))
     labels = models.class_labels(data)
-    assert models.predict(again, data, labels).count() == 120
+    assert models.predict_classes(again, data, labels).count() == 120
 
 
 def test_cleaning_scalars_equals_cleaning_vectors(table, data):
@@ -194,8 +192,3 @@ def test_cleaning_scalars_equals_cleaning_vectors(table, data):
     late = features.sanitize(late, features.vector_dimension(late))
     pick = ("review_id", vector_to_array(F.col("features")).alias("v"))
     assert sorted(map(tuple, late.select(*pick).collect())) == sorted(map(tuple, data.select(*pick).collect()))
-
-
-def test_too_many_categories(data):
-    with pytest.raises(ValueError, match="store_clean"):
-        features.check_categories(data, ["store_clean"], most=2)

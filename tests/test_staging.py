@@ -4,6 +4,7 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from starlens.operators import quality, staging
 from starlens.sources import readers, schemas, writers
@@ -88,12 +89,24 @@ def test_csv_round_trip(spark, tmp_path):
     assert [r["c"] for r in back] == cells
 
 
-def test_single_csv_refuses_big_results(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(writers, "SINGLE_FILE_ROW_LIMIT", 3)
-    path = writers.write_single_csv(spark.range(3).toDF("a"), str(tmp_path / "ok.csv"))
-    assert readers.read_csv(spark, path).count() == 3
-    with pytest.raises(ValueError):
-        writers.write_single_csv(spark.range(4).toDF("a"), str(tmp_path / "no.csv"))
+def test_single_csv_is_one_file(spark, tmp_path):
+    path = writers.write_single_csv(spark.range(0, 3, 1, 3).toDF("a"), str(tmp_path / "one.csv"))
+    assert (tmp_path / "one.csv").is_file() and readers.read_csv(spark, path).count() == 3
+
+
+def test_csv_files_are_bounded_by_bytes(spark, tmp_path):
+    # Digests don't compress, so shuffled bytes are near those written.
+    digests = [F.sha2(F.concat_ws("-", "id", F.lit(i)), 512) for i in range(20)]
+    wide = spark.range(4000).select(F.concat(*digests).alias("c"))
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1MB")
+    try:
+        writers.write_csv(wide.coalesce(1), str(tmp_path / "w"))
+    finally:
+        spark.conf.set(setting, before)
+    back = readers.read_csv(spark, str(tmp_path / "w"))
+    assert back.count() == 4000 and len(back.inputFiles()) > 2
 
 
 def test_table_is_preferred_to_its_path(spark, tmp_path):
