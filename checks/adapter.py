@@ -129,12 +129,9 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_metadata(landing_metadata(spark, sf_dir))
 
 
-def review_lines(
-    spark: SparkSession, sf_dir: str, with_text: bool = True, copies: bool = False
-) -> DataFrame:
+def review_lines(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     """JSON review lines. Empty cells are left out, or written as null on line 3 of an order."""
-    extra = ("review_text",) if with_text else ()
-    df = facts(spark, sf_dir, "user_id", "review_title", *extra, copies=copies)
+    df = facts(spark, sf_dir, "user_id", "review_title", "review_text", copies=copies)
     cells = F.struct(
         F.col("half_rating").alias("rating"),
         F.col("review_title").alias("title"),

@@ -510,10 +510,6 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _two_digits(value):
-    return F.format_string("%.2f", value)
-
-
 # The given parts have 25 brands, so that ten of them leave some to fold.
 TOP_STORES = 10
 
@@ -533,11 +529,7 @@ def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cells(df: DataFrame, *vectors: str) -> DataFrame:
-    """(review_id, vector, idx, value) of every slot that is not zero.
-
-    A review may occur as several line items, so rows are told apart by their
-    label and votes as well.
-    """
+    """(review_id, label, vector, idx, value) of every slot that is not zero; -1 for no number."""
     parts = [
         df.select(
             "review_id",
@@ -598,9 +590,10 @@ def ft_random_split(spark, sf_dir):
 
 @register
 def ft_sanitize_vectors(spark, sf_dir):
-    """Vectors with unusable values, cut by two slots on odd votes' reviews and padded on others.
+    """Vectors of other widths with unusable values, brought to one width.
 
-    Rows with a label of 1 get a negative, those of 2 an infinite first value.
+    Reviews of odd months have eight slots, the others one too many. A label of 1
+    makes the first value negative, one of 2 makes it infinite.
     """
     encoded, _ = features.index_and_encode(bucketed(spark, sf_dir))
     rows = features.assemble(encoded)
@@ -625,13 +618,16 @@ def ft_manifest(spark, sf_dir):
 
 @register
 def ft_vector_normalize(spark, sf_dir):
-    """Vectors through JSON and back; the review's id is carried as a constant of its split."""
+    """Vectors through JSON and back, as digests of whole vectors with their number of rows."""
     path = scratch_path(spark, "vectors")
     dataset(spark, sf_dir).select("features", "features_nb", "label").write.json(path)
     back = features.normalize_vectors(spark.read.json(path))
-    # Whole vectors are compared: each one as text, with the number of rows that have it.
+
+    def two_digits(value):
+        return F.format_string("%.2f", value)
+
     shown = [
-        F.md5(F.concat_ws(",", F.transform(vector_to_array(F.col(c)), _two_digits))).alias(c)
+        F.md5(F.concat_ws(",", F.transform(vector_to_array(c), two_digits))).alias(c)
         for c in ("features", "features_nb")
     ]
     return back.select("label", *shown).groupBy("label", "features", "features_nb").agg(

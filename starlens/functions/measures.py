@@ -15,6 +15,13 @@ def whole_rating(col: Column) -> Column:
     return F.bround(col.try_cast("double")).try_cast("int")
 
 
+def whole_number(col: Column, kind: str = "bigint") -> Column:
+    """Text of a whole number, also when written with a fraction of zeros; NULL if it is none."""
+    number = col.try_cast("double")
+    whole = F.when(number == F.floor(number), number)
+    return F.coalesce(col.try_cast(kind), whole.try_cast(kind))
+
+
 def mean(total: Column, n: Column, digits: int = 4) -> Column:
     return F.round(F.try_divide(total, n), digits)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starlens.functions import text
 from starlens.functions.keys import sha256_key
-from starlens.functions.measures import whole_rating
+from starlens.functions.measures import whole_number, whole_rating
 from starlens.functions.temporal import from_millis
 from starlens.sources import schemas
 
@@ -35,8 +35,8 @@ def stage_reviews(lines: DataFrame) -> DataFrame:
         whole_rating(F.col("raw.rating")).alias("rating"),
         F.col("raw.title").alias("review_title"),
         F.col("raw.text").alias("review_text"),
-        from_millis(F.col("raw.timestamp").try_cast("bigint")).alias("review_timestamp"),
-        "raw.helpful_vote",
+        from_millis(whole_number(F.col("raw.timestamp"))).alias("review_timestamp"),
+        whole_number(F.col("raw.helpful_vote"), "int").alias("helpful_vote"),
         text.json_truthy(F.col("raw.verified_purchase")).alias("verified_purchase"),
         F.col("raw.images").alias("images_json"),
     )

@@ -7,7 +7,7 @@ from __future__ import annotations
 # order and inner nulls, while it parses the line once.
 RAW_REVIEW = """
     rating STRING, title STRING, text STRING, asin STRING, parent_asin STRING,
-    user_id STRING, timestamp STRING, helpful_vote INT, verified_purchase STRING,
+    user_id STRING, timestamp STRING, helpful_vote STRING, verified_purchase STRING,
     images STRING
 """
 

@@ -121,3 +121,10 @@ def test_confusion_counts_every_row(spark):
     rows = spark.createDataFrame([(0.0, 1.0), (6.0, 6.0), (1.0, 1.0), (1.0, 1.0)], "label double, prediction double")
     found = {(r["actual"], r["predicted"]): r["count"] for r in confusion(rows).collect()}
     assert sum(found.values()) == 4 and found[0.0, 1.0] == 1 and found[1.0, 1.0] == 2 and found[2.0, 3.0] == 0
+
+
+def test_whole_numbers_in_any_spelling(spark):
+    cells = ["3", "3.0", "1617000000123.0", "3.5", "x", None, "9007199254740993", "NaN"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i INT, c STRING")
+    got = df.select("i", measures.whole_number(F.col("c")).alias("n")).orderBy("i").collect()
+    assert [r["n"] for r in got] == [3, 3, 1617000000123, None, None, None, 9007199254740993, None]
