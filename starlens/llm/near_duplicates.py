@@ -13,7 +13,9 @@ Documents with equal sets form one class, found by a digest, so copies are never
 A band's classes are compared with one that leads it, whole set against whole set. The
 classes of bands that still hold more than one component after that are compared too,
 where their components differ and they share one of their rarest shingles, without which
-sets can't be similar enough. So no link between bands' members is lost, no group is
+sets can't be similar enough. A pair also has to pass two bounds on what its sets can
+share: by the ranks of the shingle in both, and by the parities of the shingles in each
+of ``64 * PARITY_WORDS`` cells, as cells that differ hold a shingle that isn't shared. So no link between bands' members is lost, no group is
 capped, and documents that merely share a common passage aren't paired. Before sets are fetched, pairs are dropped whose sizes
 rule out a link, or whose sketches agree in less than ``LEAST_AGREEMENT`` of the
 coordinates (over eight standard deviations below the limit).
@@ -45,7 +47,7 @@ BAND_ROWS = 8
 BANDS = 48
 COORDINATES = BAND_ROWS * BANDS
 LEAST_AGREEMENT = 0.70
-FEW_HOLDERS = 16
+PARITY_WORDS = 16
 
 
 def shingle_sets(hashes: np.ndarray, before: np.ndarray, words: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -107,7 +109,13 @@ def band_keys(sketched: np.ndarray) -> np.ndarray:
     return mix((rows * odd).sum(axis=1, dtype=np.uint64) ^ _BAND_SALT)
 
 
-SKETCHED = "doc_id long, class long, n_shingles long, bands array<long>, small binary"
+SKETCHED = "doc_id long, class long, n_shingles long, bands array<long>, small binary, parities array<long>"
+
+
+def cell_parities(keys: np.ndarray) -> np.ndarray:
+    """One bit for each cell: whether an odd number of the set's elements falls into it."""
+    odd = np.bincount((keys >> _SHIFT) % np.uint64(64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _digest(keys: np.ndarray) -> int:
@@ -125,6 +133,7 @@ def _sketch_batches(batches):
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "bands": pa.array([None if s is None else band_keys(s).view(np.int64) for s in sketches], pa.list_(pa.int64())),
                 "small": pa.array([None if s is None else (s & np.uint64(0xFF)).astype(np.uint8).tobytes() for s in sketches], pa.binary()),
+                "parities": pa.array([cell_parities(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
             }
         )
 
@@ -186,7 +195,7 @@ class NearDuplicates:
         self.classes = self._kept(
             held.groupBy("class").agg(
                 F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("small").alias("small"),
-                F.first("bands").alias("bands"),
+                F.first("bands").alias("bands"), F.first("parities").alias("parities"),
             ),
             "classes",
         )
@@ -222,33 +231,29 @@ class NearDuplicates:
         """Pairs of different components that share one of their rarest shingles.
 
         Sets of n and m elements can't be similar enough unless they share one of the
-        n - ceil(0.85 n) + 1 rarest of the first and of as large a part of the second. Nor
-        can they if those that no other class holds leave too few to share. A pair that
-        shares no shingle of at most ``FEW_HOLDERS`` classes has to get by with the others.
+        n - ceil(0.85 n) + 1 rarest of the first and of as large a part of the second. At the
+        rarest shingle that they share, they have no more in common than it and what comes
+        after it in either; other shingles may drop the pair, as that one keeps it. Cells
+        whose parities differ hold a shingle of one set only.
         """
         sets = self._sets(classes.select("class"))
         items = self._kept(sets.mapInArrow(_item_rows, "class long, item long"), "items")
         counts = items.groupBy("item").agg(F.count("*").alias("holders"))
         by_rarity = Window.partitionBy("class").orderBy("holders", "item")
-        whole = Window.partitionBy("class")
-        ranked = items.join(counts, "item").withColumns(
-            {
-                "rank": F.row_number().over(by_rarity),
-                "shared": F.sum((F.col("holders") > 1).cast("long")).over(whole),
-                "common": F.sum((F.col("holders") > FEW_HOLDERS).cast("long")).over(whole),
-            }
-        )
+        ranked = items.join(counts, "item").withColumn("rank", F.row_number().over(by_rarity))
         rare = ranked.join(classes, "class").where(f"rank <= n - ceil({PERCENT} * n / 100) + 1 and holders > 1")
-        rare = self._kept(rare.select("item", "class", "n", "label", "shared", "common", "holders"), "rare-items")
+        rare = self._kept(rare.select("item", "class", "n", "label", "rank"), "rare-items")
         several = rare.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         rare = rare.join(several.where("low <> high").select("item"), "item")
-        one = rare.toDF("item", "a", "na", "la", "sa", "ca", "holders")
-        other = rare.drop("holders").toDF("item", "b", "nb", "lb", "sb", "cb")
-        enough = lambda common: f"100 * {common} >= {PERCENT} * (na + nb - {common})"
-        few = f"holders <= {FEW_HOLDERS} or {enough('least(ca, cb)')}"
-        return one.join(other, "item").where(f"la < lb and {enough('least(sa, sb)')} and ({few})").select(
-            "a", "b", "na", "nb"
-        )
+        rare = rare.join(self.classes.select("class", "parities"), "class")
+        rare = rare.select("item", "class", "n", "label", "rank", "parities")
+        one = rare.toDF("item", "a", "na", "la", "ra", "pa")
+        other = rare.toDF("item", "b", "nb", "lb", "rb", "pb")
+        later = "(least(na - ra, nb - rb) + 1)"
+        by_rank = f"100 * {later} >= {PERCENT} * (na + nb - {later})"
+        apart = "(" + " + ".join(f"bit_count(pa[{k}] ^ pb[{k}])" for k in range(PARITY_WORDS)) + ")"
+        by_cells = f"100 * (na + nb - {apart}) >= {PERCENT} * (na + nb + {apart})"
+        return one.join(other, "item").where(f"la < lb and {by_rank} and {by_cells}").select("a", "b", "na", "nb")
 
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Distinct pairs of classes whose full sets are similar enough."""

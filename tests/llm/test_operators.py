@@ -125,6 +125,32 @@ def test_sketch_estimates_similarity_at_every_size():
         assert abs(float((one == other).mean()) - true) < 0.12
 
 
+def test_near_duplicates_of_a_family_about_the_limit(spark):
+    ready(spark)
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    base = [word() for _ in range(150)]
+    rows = []
+    for i in range(90):  # similarities of about 0.6 to 1 to the base, less to each other
+        one = list(base)
+        for at in rng.integers(0, 150, int(rng.integers(1, 12))):
+            one[at] = word()
+        rows.append((i, " ".join(one)))
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in found} == brute_components(rows)
+
+
+def test_cell_parities_never_tell_more_differences_than_there_are():
+    rng = np.random.default_rng(3)
+    for size, other in ((1, 1), (30, 4), (400, 60), (5000, 900)):
+        keys = rng.integers(1, 2**63, size + other, dtype=np.uint64)
+        one, two = np.unique(keys[:size]), np.unique(keys[other:])
+        cells = near_duplicates.cell_parities(one) ^ near_duplicates.cell_parities(two)
+        apart = sum(int(c).bit_count() for c in cells.view(np.uint64))
+        assert apart <= len(np.setxor1d(one, two))
+        assert not near_duplicates.cell_parities(one).tobytes() == near_duplicates.cell_parities(two).tobytes()
+
+
 def test_components(spark):
     ready(spark)
     links = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (2, 1), (9, 8)], "a long, b long")
