@@ -14,6 +14,9 @@ from starlens.llm import decontamination, mixing, near_duplicates, token_store,
 from starlens.llm.queries import ready
 from starlens.session import scratch_path
 
+#: Near duplicates of the stage; the query op6_near_duplicates has limits of its own.
+STAGE_WORDS, STAGE_PERCENT = 5, 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under the threshold; those without words stay."""
@@ -26,7 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
     ready(spark)
-    dropped = near_duplicates.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    found = near_duplicates.near_duplicates(docs, STAGE_WORDS, STAGE_PERCENT)
+    dropped = found.where("not kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 

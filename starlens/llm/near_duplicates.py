@@ -1,13 +1,15 @@
 """Near duplicates: fast similarity sketches, banding, and verification on full sets.
 
-A document's set holds the hashes of its distinct runs of ``SHINGLE_WORDS`` words. Its
-sketch has ``COORDINATES`` coordinates: in each round, every element is thrown into one
+A document's set holds the hashes of its distinct runs of ``words`` words, and two sets
+are linked at a Jaccard similarity of ``percent`` or more; ``Limits`` holds both, and what
+follows from them. Its sketch has ``COORDINATES`` coordinates: in each round, every element is thrown into one
 bin with a random value, and a bin keeps its first round's smallest value; after as many
 rounds as there are coordinates, round i looks at bin i alone. So every coordinate gets
 filled whatever the set's size, two sets agree at a coordinate with a probability equal
 to their Jaccard similarity, and the share of equal coordinates is concentrated about
-it. Bands of ``BAND_ROWS`` coordinates bring likely pairs together: a pair at the limit of
-0.85 meets in no band with a probability of 2e-7.
+it. Bands of coordinates bring likely pairs together: their rows and number are chosen so
+that a pair at the limit meets in no band with a probability of ``MISSED`` at most (8 rows
+and 48 bands for 85 %, 6 rows and 51 bands for 80 %).
 
 Documents with equal sets form one class, found by a digest, so copies are never paired.
 A band's classes are compared with one that leads it, whole set against whole set. The
@@ -17,11 +19,11 @@ sets can't be similar enough. A pair also has to pass two bounds on what its set
 share: by the ranks of the shingle in both, and by the parities of the shingles in each
 of ``64 * PARITY_WORDS`` cells, as cells that differ hold a shingle that isn't shared. So no link between bands' members is lost, no group is
 capped, and documents that merely share a common passage aren't paired. Before sets are fetched, pairs are dropped whose sizes
-rule out a link, or whose sketches agree in less than ``LEAST_AGREEMENT`` of the
-coordinates (over eight standard deviations below the limit).
+rule out a link, or whose sketches agree in a share of the coordinates that is over
+``DEVIATIONS`` standard deviations below the limit.
 
 Defined results: words are split at white space of ASCII, A-Z are lowered. A text with
-one or two words is one shingle; null and empty texts and those without words have an
+fewer words than a shingle is one shingle; null and empty texts and those without words have an
 empty set, are linked with nothing, and are kept. A row without an id is kept too, with
 no component. Repeated rows get the same result each. Rows with the same id but
 different texts are told apart by their sets. Other columns are not looked at.
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +46,33 @@ from starlens.session import scratch_path
 
 SHINGLE_WORDS = 3
 PERCENT = 85
-BAND_ROWS = 8
-BANDS = 48
-COORDINATES = BAND_ROWS * BANDS
-LEAST_AGREEMENT = 0.70
+COORDINATES = 384
+MISSED = 2.5e-7
+DEVIATIONS = 8.25
 PARITY_WORDS = 16
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Words of a shingle, the least similarity in percent, and what follows from it."""
+
+    words: int = SHINGLE_WORDS
+    percent: int = PERCENT
+
+    def banding(self) -> tuple[int, int]:
+        """Rows of a band and number of bands: as many rows as ``MISSED`` allows."""
+        for rows in range(COORDINATES, 0, -1):
+            together = (self.percent / 100) ** rows
+            bands = math.ceil(math.log(MISSED) / math.log1p(-together)) if together < 1 else 1
+            if rows * bands <= COORDINATES:
+                return rows, bands
+        raise ValueError(f"{COORDINATES} coordinates are too few for a similarity of {self.percent} %")
+
+    def least_agreement(self) -> float:
+        limit = self.percent / 100
+        return limit - DEVIATIONS * math.sqrt(limit * (1 - limit) / COORDINATES)
+
+
 def shingle_sets(hashes: np.ndarray, before: np.ndarray, words: int = SHINGLE_WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text, from the hashes of its words."""
     n = len(hashes)
@@ -100,13 +123,14 @@ def sketch(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-_BAND_SALT = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+_BAND_SALT = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64))
 
 
-def band_keys(sketched: np.ndarray) -> np.ndarray:
-    rows = mix(sketched.reshape(BANDS, BAND_ROWS) + np.arange(BAND_ROWS, dtype=np.uint64) * np.uint64(0x51ED27))
-    odd = 2 * np.arange(BAND_ROWS, dtype=np.uint64) + np.uint64(0x9E3779B1)
-    return mix((rows * odd).sum(axis=1, dtype=np.uint64) ^ _BAND_SALT)
+def band_keys(sketched: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    at = np.arange(rows, dtype=np.uint64)
+    mixed = mix(sketched[: rows * bands].reshape(bands, rows) + at * np.uint64(0x51ED27))
+    odd = 2 * at + np.uint64(0x9E3779B1)
+    return mix((mixed * odd).sum(axis=1, dtype=np.uint64) ^ _BAND_SALT[:bands])
 
 
 SKETCHED = "doc_id long, class long, n_shingles long, bands array<long>, small binary, parities array<long>"
@@ -122,25 +146,26 @@ def _digest(keys: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _sketch_batches(batches):
+def _sketch_batches(batches, limits: Limits):
+    rows, bands = limits.banding()
     for batch in slices(batches, "text"):
-        sets = shingle_sets(*word_hashes(batch.column("text")))
+        sets = shingle_sets(*word_hashes(batch.column("text")), limits.words)
         sketches = [sketch(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id"),
                 "class": pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                "bands": pa.array([None if s is None else band_keys(s).view(np.int64) for s in sketches], pa.list_(pa.int64())),
+                "bands": pa.array([None if s is None else band_keys(s, rows, bands).view(np.int64) for s in sketches], pa.list_(pa.int64())),
                 "small": pa.array([None if s is None else (s & np.uint64(0xFF)).astype(np.uint8).tobytes() for s in sketches], pa.binary()),
                 "parities": pa.array([cell_parities(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
             }
         )
 
 
-def _set_batches(batches):
+def _set_batches(batches, words: int):
     for batch in slices(batches, "text"):
-        sets = shingle_sets(*word_hashes(batch.column("text")))
+        sets = shingle_sets(*word_hashes(batch.column("text")), words)
         # Documents may share an id; only the text with the class's set counts.
         own = [(c, s) for c, s in zip(batch.column("class").to_pylist(), sets, strict=True) if len(s) and _digest(s) == c]
         yield pa.RecordBatch.from_pydict(
@@ -151,7 +176,7 @@ def _set_batches(batches):
         )
 
 
-def _agree(batches):
+def _agree(batches, least: float):
     """Drop pairs whose sketches agree too little. A coordinate is one byte here, so
     different ones look equal once in 256 times, which drops no pair that should stay."""
     for batch in batches:
@@ -160,10 +185,10 @@ def _agree(batches):
         one = np.frombuffer(b"".join(batch.column("small_a").to_pylist()), dtype=np.uint8)
         other = np.frombuffer(b"".join(batch.column("small_b").to_pylist()), dtype=np.uint8)
         equal = (one == other).reshape(-1, COORDINATES).mean(axis=1)
-        yield batch.select(["a", "b"]).filter(pa.array(equal >= LEAST_AGREEMENT))
+        yield batch.select(["a", "b"]).filter(pa.array(equal >= least))
 
 
-def _linked(batches):
+def _linked(batches, percent: int):
     """Keep pairs whose full sets are similar enough."""
     for batch in batches:
         ones, others = batch.column("items_a").to_pylist(), batch.column("items_b").to_pylist()
@@ -171,14 +196,15 @@ def _linked(batches):
         for x, y in zip(ones, others, strict=True):
             p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             common = len(np.intersect1d(p, q, assume_unique=True))
-            keep.append(100 * common >= PERCENT * (len(p) + len(q) - common))
+            keep.append(100 * common >= percent * (len(p) + len(q) - common))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 class NearDuplicates:
     """The steps over one table of documents; each result is kept in the shared folder."""
 
-    def __init__(self, documents: DataFrame):
+    def __init__(self, documents: DataFrame, limits: Limits):
+        self.limits = limits
         self.spark = documents.sparkSession
         self.folder = scratch_path(self.spark, "near-duplicates")
         self.documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -189,7 +215,9 @@ class NearDuplicates:
 
     def find(self) -> DataFrame:
         """doc_id, n_shingles, component_id and kept of every document."""
-        rows = self._kept(self.documents.mapInArrow(_sketch_batches, SKETCHED), "sketches")
+        limits = self.limits
+        sketched = self.documents.mapInArrow(lambda batches: _sketch_batches(batches, limits), SKETCHED)
+        rows = self._kept(sketched, "sketches")
         held = rows.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
         # One row for each distinct set; its first document stands for all.
         self.classes = self._kept(
@@ -230,18 +258,19 @@ class NearDuplicates:
     def _rare_pairs(self, classes: DataFrame) -> DataFrame:
         """Pairs of different components that share one of their rarest shingles.
 
-        Sets of n and m elements can't be similar enough unless they share one of the
-        n - ceil(0.85 n) + 1 rarest of the first and of as large a part of the second. At the
+        With a least similarity of s, sets of n and m elements can't be similar enough unless they share one of the
+        n - ceil(s n) + 1 rarest of the first and of as large a part of the second. At the
         rarest shingle that they share, they have no more in common than it and what comes
         after it in either; other shingles may drop the pair, as that one keeps it. Cells
         whose parities differ hold a shingle of one set only.
         """
+        percent = self.limits.percent
         sets = self._sets(classes.select("class"))
         items = self._kept(sets.mapInArrow(_item_rows, "class long, item long"), "items")
         counts = items.groupBy("item").agg(F.count("*").alias("holders"))
         by_rarity = Window.partitionBy("class").orderBy("holders", "item")
         ranked = items.join(counts, "item").withColumn("rank", F.row_number().over(by_rarity))
-        rare = ranked.join(classes, "class").where(f"rank <= n - ceil({PERCENT} * n / 100) + 1 and holders > 1")
+        rare = ranked.join(classes, "class").where(f"rank <= n - ceil({percent} * n / 100) + 1 and holders > 1")
         rare = self._kept(rare.select("item", "class", "n", "label", "rank"), "rare-items")
         several = rare.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         rare = rare.join(several.where("low <> high").select("item"), "item")
@@ -250,28 +279,30 @@ class NearDuplicates:
         one = rare.toDF("item", "a", "na", "la", "ra", "pa")
         other = rare.toDF("item", "b", "nb", "lb", "rb", "pb")
         later = "(least(na - ra, nb - rb) + 1)"
-        by_rank = f"100 * {later} >= {PERCENT} * (na + nb - {later})"
+        by_rank = f"100 * {later} >= {percent} * (na + nb - {later})"
         apart = "(" + " + ".join(f"bit_count(pa[{k}] ^ pb[{k}])" for k in range(PARITY_WORDS)) + ")"
-        by_cells = f"100 * (na + nb - {apart}) >= {PERCENT} * (na + nb + {apart})"
+        by_cells = f"100 * (na + nb - {apart}) >= {percent} * (na + nb + {apart})"
         return one.join(other, "item").where(f"la < lb and {by_rank} and {by_cells}").select("a", "b", "na", "nb")
 
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Distinct pairs of classes whose full sets are similar enough."""
-        pairs = pairs.where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
+        percent, least = self.limits.percent, self.limits.least_agreement()
+        pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         small = self.classes.select("class", "small")
         pairs = pairs.join(small.toDF("a", "small_a"), "a").join(small.toDF("b", "small_b"), "b")
-        likely = self._kept(pairs.mapInArrow(_agree, "a long, b long"), f"{name}-likely")
+        likely = self._kept(pairs.mapInArrow(lambda batches: _agree(batches, least), "a long, b long"), f"{name}-likely")
         needed = likely.select(F.col("a").alias("class")).union(likely.select(F.col("b").alias("class"))).distinct()
         sets = self._sets(needed)
         both = likely.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
-        return self._kept(both.mapInArrow(_linked, "a long, b long"), f"{name}-links")
+        return self._kept(both.mapInArrow(lambda batches: _linked(batches, percent), "a long, b long"), f"{name}-links")
 
     def _sets(self, needed: DataFrame) -> DataFrame:
         """Full sets of some classes, made anew from one text of each."""
         chosen = needed.join(self.classes.select("class", "doc_id"), "class")
         texts = self.documents.join(chosen, "doc_id").select("class", "text")
-        return texts.mapInArrow(_set_batches, "class long, items binary").dropDuplicates(["class"])
+        words = self.limits.words
+        return texts.mapInArrow(lambda batches: _set_batches(batches, words), "class long, items binary").dropDuplicates(["class"])
 
     def _result(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
         grouped = self.classes.select("class", "doc_id").join(labels, F.col("class") == F.col("node"), "left")
@@ -292,9 +323,9 @@ def _item_rows(batches):
             yield pa.RecordBatch.from_pydict({"class": pa.array(np.full(len(items), one)), "item": pa.array(items)})
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    return NearDuplicates(documents).find()
+def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    return NearDuplicates(documents, Limits(words, percent)).find()
 
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), SHINGLE_WORDS, PERCENT)

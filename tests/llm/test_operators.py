@@ -151,6 +151,45 @@ def test_cell_parities_never_tell_more_differences_than_there_are():
         assert not near_duplicates.cell_parities(one).tobytes() == near_duplicates.cell_parities(two).tobytes()
 
 
+def test_near_duplicate_stage_takes_five_words_and_80_percent(spark, small):
+    import corpus_pipeline
+
+    ready(spark)
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 8))
+    fresh = lambda n: [word() for _ in range(n)]
+
+    def similar(one, other, n):
+        a, b = ({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} for w in (one, other))
+        return len(a & b) / len(a | b)
+
+    texts, expected, appended, bases = [], set(), [], [fresh(450) for _ in range(40)]
+    for base in bases:  # with a block appended: 0.82 by either length of shingles
+        appended.append((base, base + fresh(98)))
+    whole = fresh(450)
+    far = (whole, whole + fresh(120))  # 0.79
+    scattered = fresh(200)
+    changed = [word() if i % 40 == 20 else w for i, w in enumerate(scattered)]  # 0.86 by three words, 0.77 by five
+    for one, other in [*appended, far, (scattered, changed)]:
+        if similar(one, other, 5) < 0.8:
+            expected.add(len(texts) + 1)
+        expected.add(len(texts))
+        texts += [" ".join(one), " ".join(other)]
+    assert all(0.8 <= similar(a, b, 5) < 0.85 > similar(a, b, 3) for a, b in appended)
+    assert similar(scattered, changed, 3) >= 0.85 and similar(scattered, changed, 5) < 0.8
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()]
+    assert sorted(kept) == sorted(expected)
+
+
+def test_banding_and_agreement_follow_the_limit():
+    for percent, banding, agreement in ((85, (8, 48), 0.70), (80, (6, 51), 0.63)):
+        limits = near_duplicates.Limits(3, percent)
+        assert limits.banding() == banding and abs(limits.least_agreement() - agreement) < 0.005
+        rows, bands = banding
+        assert (1 - (percent / 100) ** rows) ** bands <= near_duplicates.MISSED
+
+
 def test_components(spark):
     ready(spark)
     links = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (2, 1), (9, 8)], "a long, b long")
