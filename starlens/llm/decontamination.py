@@ -8,10 +8,12 @@ benchmark items that have at least ``LEAST_LITERAL`` literal words. An item's wi
 also taken without typing its names, so texts in capitals or small letters match too.
 
 A window that matches at some distance between document and item is part of an
-alignment. Within an alignment, each slot value of the item must have one counterpart in
+alignment. Within an alignment, each slot value of the item should have one counterpart in
 the document: a question with other names or numbers passes, a chance likeness of
-sentence shapes with mixed-up slots doesn't. A document leaks an item if consistent
-alignments cover at least ``COVERAGE`` of the item's windows.
+sentence shapes with mixed-up slots doesn't. Windows that hold a value with several
+counterparts don't count, unless all their slots are as in the item; the alignment's other
+windows do. A document leaks an item if the windows that count are at least ``COVERAGE``
+of the item's windows.
 
 Only DataFrame operations are used. The items' windows are broadcast if there are at most
 ``BROADCAST_WINDOWS``, else they are joined by a shuffle.
@@ -112,33 +114,38 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = spark.read.parquet(f"{folder}/windows")
     matched_windows(documents, windows).write.parquet(f"{folder}/matches")
     matches = spark.read.parquet(f"{folder}/matches")
-    slotted = matches.join(windows, ["item_id", "item_pos", "hash"]).where(
-        F.exists("shape", lambda w: w.startswith("¤"))
-    )
+    has_slot = F.exists("shape", lambda w: w.startswith("¤"))
     # Original words are fetched for documents with a match only.
     ids = matches.select("doc_id").distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = documents.where("text is not null").join(ids, "doc_id", "left_semi")
     raw = texts.select("doc_id", split_words(F.lower(spaced(F.col("text")))).alias("raw"))
-    values = slotted.join(raw, "doc_id").select(
-        "doc_id",
-        "item_id",
-        (F.col("doc_pos") - F.col("item_pos")).alias("distance"),
-        F.explode(F.arrays_zip("shape", "item_words", F.slice("raw", F.col("doc_pos") + 1, WINDOW).alias("doc_words"))).alias("slot"),
+    slotted = matches.join(windows.where(has_slot), ["item_id", "item_pos", "hash"]).join(raw, "doc_id")
+    words = F.arrays_zip("shape", F.col("item_words").alias("asked"), F.slice("raw", F.col("doc_pos") + 1, WINDOW).alias("given"))
+    slots = F.transform(
+        F.filter(words, lambda w: w["shape"].startswith("¤")),
+        lambda w: F.struct(w["asked"].alias("asked"), w["given"].alias("given")),
+    )
+    slotted = slotted.select(
+        "doc_id", "item_id", "item_pos", (F.col("doc_pos") - F.col("item_pos")).alias("distance"), slots.alias("slots")
     )
-    pairs = values.where(F.col("slot.shape").startswith("¤")).select(
-        "doc_id", "item_id", "distance", F.col("slot.item_words").alias("asked"), F.col("slot.doc_words").alias("given")
+    pairs = slotted.select("doc_id", "item_id", "distance", F.explode("slots").alias("slot"))
+    values = pairs.groupBy("doc_id", "item_id", "distance", F.col("slot.asked").alias("asked")).agg(
+        F.min("slot.given").alias("low"), F.max("slot.given").alias("high")
     )
-    pairs = pairs.distinct().groupBy("doc_id", "item_id", "distance", "asked").agg(
-        F.count("*").alias("n"), F.max((F.col("given") != F.col("asked")).cast("int")).alias("changed")
+    torn = values.where("low <> high").groupBy("doc_id", "item_id", "distance").agg(F.collect_set("asked").alias("torn"))
+    changed = F.exists("slots", lambda w: w["asked"] != w["given"])
+    mixed = F.coalesce(F.arrays_overlap(F.col("slots.asked"), "torn"), F.lit(False))
+    # A window that doesn't count has no position, but tells that slots were changed.
+    judged = slotted.join(torn, ["doc_id", "item_id", "distance"], "left").select(
+        "doc_id", "item_id", F.when(~(changed & mixed), F.col("item_pos")).alias("item_pos"), changed.cast("int").alias("changed")
     )
-    slots = pairs.groupBy("doc_id", "item_id", "distance").agg(F.max("n").alias("n"), F.max("changed").alias("changed"))
-    aligned = matches.select("doc_id", "item_id", "item_pos", (F.col("doc_pos") - F.col("item_pos")).alias("distance"))
-    judged = aligned.join(slots, ["doc_id", "item_id", "distance"], "left").where(F.coalesce("n", F.lit(1)) == 1)
+    plain = matches.join(windows.where(~has_slot), ["item_id", "item_pos", "hash"])
+    counted = judged.unionByName(plain.select("doc_id", "item_id", "item_pos", F.lit(0).alias("changed")))
     sizes = windows.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
-    found = judged.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("item_pos").alias("matched_windows"), F.max(F.coalesce("changed", F.lit(0))).alias("changed")
+    found = counted.groupBy("doc_id", "item_id").agg(
+        F.countDistinct("item_pos").alias("matched_windows"), F.max("changed").alias("changed")
     )
     share = F.col("matched_windows") / F.col("item_windows")
     return found.join(sizes, "item_id").where(share >= COVERAGE).select(

@@ -460,6 +460,29 @@ def test_decontamination_of_verbatim_and_changed_questions(spark):
     assert found[1]["changed"] == 0 and found[2]["changed"] == 1
 
 
+def test_decontamination_of_values_changed_in_two_ways(spark):
+    ready(spark)
+    item = (
+        "On the way to the market the farmer put 3 apples into his basket and walked on for a while until he met "
+        "his old neighbour under the bridge who gave him 3 pears and asked how many pieces of fruit he had now"
+    )
+    again = item.replace("3 apples", "4 apples").replace("3 pears", "5 pears")
+    named = "When Anna came home she saw that the door stood open and the lamp was lit so Anna went back to the street"
+    one = named.replace("so Anna", "so Maria")
+    # Sentence shapes alone, with a value that has many counterparts, are no leak.
+    shape = "then Anna saw and met him again so Anna saw and met him again so Anna saw and met him again"
+    others = "then Carla saw and met him again so Dora saw and met him again so Emma saw and met him again"
+    bench = spark.createDataFrame([(1, item), (2, named), (3, shape)], "item_id long, text string")
+    rows = [(1, f"x {again} y"), (2, one), (3, others), (4, f"x {item} y {again} z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in decontamination.leaks(docs, bench).collect()}
+    assert set(found) == {(1, 1), (2, 2), (4, 1)}
+    # The windows about 4 and 5 don't count, all others do.
+    windows = len(item.split()) - 5
+    assert (found[1, 1]["matched_windows"], found[1, 1]["item_windows"]) == (windows - 12, windows)
+    assert found[1, 1]["changed"] == 1 and found[4, 1]["coverage"] == 1
+
+
 def test_decontamination_is_exact_for_planted_passages(spark, small, documents):
     items = duckdb.sql(f"select item_id, text from '{small}/benchmark.parquet'").fetchall()
     bare = lambda t: " " + " ".join(re.sub(r"[^\w\s]", "", t).lower().split()) + " "
