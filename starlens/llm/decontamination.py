@@ -1,11 +1,16 @@
 """Benchmark decontamination: typed templates, hashed windows, and slot consistency.
 
 A text's words (runs without white space, stripped of everything but letters and
-digits) become a template: words with a capital and small letters are names, digits are
-numbers, and a unit after a number is a unit; each type has a placeholder, other words
+digits, and cut between a digit and a letter after it, but for ordinals) become a
+template: digits and ordinals are numbers, a unit after a number is a unit, and words of
+two characters or more with a capital are names; each type has a placeholder, other words
 are lowered. Windows of ``WINDOW`` template words are hashed and joined with those of the
-benchmark items that have at least ``LEAST_LITERAL`` literal words. An item's windows are
-also taken without typing its names, so texts in capitals or small letters match too.
+benchmark items that have at least ``LEAST_LITERAL`` literal words.
+
+Words in capitals or with inner ones may be names (NASA, McDonald) or just be written so.
+So windows are also taken with plain names only (one capital, then small letters), of
+documents where that differs. An item's windows are taken in both ways and without typing
+names, so texts in capitals or small letters match too.
 
 A window that matches at some distance between document and item is part of an
 alignment. Within an alignment, each slot value of the item should have one counterpart in
@@ -44,26 +49,29 @@ UNITS = (
 # Each word stands between two spaces of its own, so neighbours can match one after the other.
 DROPPED = r"[^\p{L}\p{N} \t\n\x0B\f\r]+"
 SPACES = r"[ \t\n\x0B\f\r]+"
-NAME = r" \p{Lu}\p{Ll}+ "
-NUMBER = r" \p{N}+ "
-UNIT = f" ¤d  ({'|'.join(UNITS)}) "
+NAME = r" (?=\S{2})\p{L}*\p{Lu}[\p{L}\p{N}]* "
+PLAIN_NAME = r" \p{Lu}\p{Ll}+ "
+ORDINAL = "(?i:st|nd|rd|th)"
+NUMBER = rf" \p{{N}}+{ORDINAL}? "
+ATTACHED = rf"(\p{{N}})(?!{ORDINAL} )(\p{{L}})"
+UNIT = f" ¤d  (?i:{'|'.join(UNITS)}) "
 
 
 def spaced(text: Column) -> Column:
     """The text's words without punctuation, with two spaces between them."""
     bare = F.regexp_replace(text, DROPPED, "")
-    return F.concat(F.lit("  "), F.regexp_replace(bare, SPACES, "  "), F.lit("  "))
+    apart = F.concat(F.lit("  "), F.regexp_replace(bare, SPACES, "  "), F.lit("  "))
+    return F.regexp_replace(apart, ATTACHED, "$1  $2")
 
 
 def split_words(words: Column) -> Column:
     return F.filter(F.split(words, " +"), lambda w: w != "")
 
 
-def template(words: Column, names: bool = True) -> Column:
-    """Spaced words with placeholders for names, numbers and units."""
-    typed = F.regexp_replace(words, NAME, " ¤n ") if names else words
-    numbered = F.regexp_replace(F.lower(typed), NUMBER, " ¤d ")
-    return F.regexp_replace(numbered, UNIT, " ¤d  ¤u ")
+def template(words: Column, names: str | None = NAME) -> Column:
+    """Spaced words with placeholders for numbers, units and what the pattern takes for names."""
+    numbered = F.regexp_replace(F.regexp_replace(words, NUMBER, " ¤d "), UNIT, " ¤d  ¤u ")
+    return F.lower(F.regexp_replace(numbered, names, " ¤n ") if names else numbered)
 
 
 def window_hashes(words: Column) -> Column:
@@ -73,13 +81,23 @@ def window_hashes(words: Column) -> Column:
     return F.when(last >= 1, hashes)
 
 
+def other_windows(words: Column, other: Column) -> Column:
+    """Position and hash of each window of the second array that differs from the first's."""
+    last = F.size(words) - WINDOW + 1
+    apart = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.element_at(words, i) != F.element_at(other, i))
+    held = F.transform(apart, lambda i: F.sequence(F.greatest(i - WINDOW + 1, F.lit(1)), F.least(i, last)))
+    each = F.transform(
+        F.array_distinct(F.flatten(held)),
+        lambda i: F.struct((i - 1).alias("doc_pos"), F.xxhash64(F.slice(other, i, WINDOW)).alias("hash")),
+    )
+    return F.when((last >= 1) & (words != other), each)
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, item_pos, hash, words and shape of each window of each item, once."""
     items = benchmark.where("item_id is not null and text is not null").select(
         "item_id", split_words(F.lower(spaced(F.col("text")))).alias("raw"),
-        F.array(
-            split_words(template(spaced(F.col("text")))), split_words(template(spaced(F.col("text")), names=False))
-        ).alias("shapes"),
+        F.array(*(split_words(template(spaced(F.col("text")), names)) for names in (NAME, PLAIN_NAME, None))).alias("shapes"),
     )
     each = items.select("item_id", "raw", F.explode("shapes").alias("shape"))
     placed = each.select("item_id", "raw", "shape", F.posexplode(window_hashes(F.col("shape"))).alias("at", "hash"))
@@ -97,8 +115,16 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 def matched_windows(documents: DataFrame, windows: DataFrame) -> DataFrame:
     """doc_id, item_id, item_pos, doc_pos and hash of each pair of equal template windows."""
     texts = documents.where("doc_id is not null and text is not null")
-    shapes = texts.select("doc_id", split_words(template(spaced(F.col("text")))).alias("shape"))
-    placed = shapes.select("doc_id", F.posexplode(window_hashes(F.col("shape"))).alias("doc_pos", "hash"))
+    bare = texts.select("doc_id", spaced(F.col("text")).alias("words"))
+    shapes = bare.select(
+        "doc_id", split_words(template(F.col("words"))).alias("shape"),
+        split_words(template(F.col("words"), PLAIN_NAME)).alias("plain"),
+    )
+    hashed = F.transform(
+        window_hashes(F.col("shape")), lambda h, i: F.struct(i.alias("doc_pos"), h.alias("hash"))
+    )
+    others = F.coalesce(other_windows(F.col("shape"), F.col("plain")), F.array().cast("array<struct<doc_pos:int,hash:bigint>>"))
+    placed = shapes.select("doc_id", F.inline(F.concat(hashed, others)))
     keys = windows.select("hash", "item_id", "item_pos")
     if windows.count() <= BROADCAST_WINDOWS:
         keys = F.broadcast(keys)

@@ -483,6 +483,27 @@ def test_decontamination_of_values_changed_in_two_ways(spark):
     assert found[1, 1]["changed"] == 1 and found[4, 1]["coverage"] == 1
 
 
+def test_decontamination_of_attached_units_ordinals_and_names_with_inner_capitals(spark):
+    ready(spark)
+    pairs = [
+        ("a car drives 60km in 45min and then another 20km in 10min before it stops",
+         "a car drives 75km in 50min and then another 30km in 15min before it stops"),
+        ("the 3rd runner passes the one in front of the 2nd and takes the 21st place of the race",
+         "the 4th runner passes the one in front of the 1st and takes the 33rd place of the race"),
+        ("today O'Neil gave 3 red balls to McDonald who lent them to Anne-Marie of NASA for a whole long year",
+         "today McKay gave 7 red balls to O'Hara who lent them to Jean-Paul of CERN for a whole long year"),
+    ]
+    bench = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], "item_id long, text string")
+    forms = [lambda a, b: a, lambda a, b: b, lambda a, b: a.upper(), lambda a, b: a.lower(), lambda a, b: a.replace("km", " km")]
+    rows = [(10 * i + k, f(a, b)) for i, (a, b) in enumerate(pairs) for k, f in enumerate(forms)]
+    rows += [(100, "WE HEARD AT NOON THAT " + pairs[2][0].upper() + " AND MORE")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in decontamination.leaks(docs, bench).collect()}
+    assert set(found) == {(10 * i + k, i) for i in range(3) for k in range(5)} | {(100, 2)}
+    assert all(r["changed"] == int(i % 10 == 1) for (i, _), r in found.items())
+    assert all(r["coverage"] == 1 for (i, _), r in found.items() if i < 20)
+
+
 def test_decontamination_is_exact_for_planted_passages(spark, small, documents):
     items = duckdb.sql(f"select item_id, text from '{small}/benchmark.parquet'").fetchall()
     bare = lambda t: " " + " ".join(re.sub(r"[^\w\s]", "", t).lower().split()) + " "
