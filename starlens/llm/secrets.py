@@ -1,8 +1,11 @@
 """Secret scans: base patterns, and a battery of randomness tests over long tokens.
 
 Base patterns (assignments, access keys, long hex runs) are taken as they are. Besides,
-every run of ``TOKEN`` characters of ``LEAST_LENGTH`` or more is a candidate. The smallest
-alphabet that holds its characters is its inferred encoding. Three tests ask whether its
+runs of ``TOKEN`` characters are cut into candidates of ``LEAST_LENGTH`` or more: "=" is
+padding at a run's end and cuts it elsewhere, as in NAME=value. Of what no alphabet holds,
+the parts between "_" and "-" are candidates, and those between "/" and "+"; where both
+cuts find something, spans may overlap. The smallest
+alphabet that holds a candidate's characters is its inferred encoding. Three tests ask whether its
 characters look uniform and independent over that alphabet: chi-squared of their counts,
 the number of runs above and below the middle, and serial correlation at lag one. Their
 p-values are combined by Fisher's method; candidates that fail are dropped.
@@ -97,6 +100,25 @@ def infer_encoding(token: str) -> str | None:
     return next((name for name, characters in ENCODINGS.items() if held and held <= set(characters)), None)
 
 
+#: A value of a run with its padding, and the cuts of values that mix alphabets.
+VALUE = re.compile(r"[^=]+(?:=+\Z)?")
+CUTS = (re.compile(r"[^_-]+"), re.compile(r"[^/+]+"))
+
+
+def pieces(run: str) -> list[tuple[int, int]]:
+    """Spans of the candidates in a run of token characters, by start and end."""
+    found = set()
+    for value in VALUE.finditer(run):
+        if len(value[0]) < LEAST_LENGTH:
+            continue
+        if infer_encoding(value[0]) is not None:
+            found.add(value.span())
+            continue
+        for cut in CUTS:
+            found.update(m.span() for m in cut.finditer(run, *value.span()) if len(m[0]) >= LEAST_LENGTH)
+    return sorted(found)
+
+
 def _normal_tail(z: float) -> float:
     """Two-sided p-value of a standard normal."""
     return math.erfc(abs(z) / math.sqrt(2))
@@ -161,7 +183,7 @@ def length_class(token: str) -> int:
 
 
 def _flagged(data: np.ndarray, offsets: np.ndarray) -> tuple[set[int], dict[int, list[tuple[int, int]]]]:
-    """Texts that may hold a base span, and byte spans of candidates by text."""
+    """Texts that may hold a base span, and byte spans of long runs of token characters by text."""
     lower = LOWER[data].tobytes()
     hits = []
     for hint in HINTS:
@@ -220,9 +242,10 @@ def _scan(batches):
                 own = data[offsets[i] : offsets[i + 1]]
                 points = np.cumsum((own & 0xC0) != 0x80)  # code points up to each byte
                 for s, e in held[i]:
-                    start = int(points[s - offsets[i]]) - 1
-                    end = start + e - s
-                    candidates[i].append({"token": text[start:end], "start": start, "end": end})
+                    first = int(points[s - offsets[i]]) - 1
+                    for a, b in pieces(text[first : first + e - s]):
+                        start, end = first + a, first + b
+                        candidates[i].append({"token": text[start:end], "start": start, "end": end})
         yield _rows(batch.column("doc_id"), spans, candidates)
     yield _rows(None, [[]], [[]], characters.tolist())
 
@@ -276,8 +299,10 @@ def false_discovery_rule(found: DataFrame, logs: np.ndarray, level: float = FALS
 
 
 def merge(base: list[tuple[str, int, int]], more: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
-    """Base spans and those added ones that don't lie within one of them."""
-    added = [("random", s, e) for s, e in more if not any(b <= s and e <= f for _, b, f in base)]
+    """Base spans and those added ones that don't lie within another one of either."""
+    outer = [(b, f) for _, b, f in base]
+    within = lambda s, e: any(b <= s and e <= f for b, f in outer) or any(b <= s and e <= f and (b, f) != (s, e) for b, f in more)
+    added = [("random", s, e) for s, e in more if not within(s, e)]
     return in_order(base + added)
 
 

@@ -323,6 +323,28 @@ def test_randomness_battery(spark):
     assert secrets.infer_encoding("00ff") == "hex" and secrets.infer_encoding("é") is None
 
 
+def test_secrets_in_assignments_and_behind_prefixes(spark):
+    ready(spark)
+    rng = np.random.default_rng(5)
+    draw = lambda kind, n: "".join(rng.choice(list(secrets.ENCODINGS[kind]), n))
+    plain, mixed, url = draw("base62", 40), draw("base64", 39) + "+", draw("base64url", 39) + "_"
+    mixed = mixed[:20] + "/" + mixed[21:]
+    texts, expected = [], []
+    for before, value, after in [
+        ("é AWS_SECRET_ACCESS_KEY=", plain, " end"), ("client_key=", plain, ""), ("see https://x.org/a?sig=", mixed + "==", "&b=c"),
+        ("the key_live_", mixed, " here"), ("of prod-", mixed, ""), ("a+b/", url, " c"), ("", plain, "=x"),
+    ]:
+        texts.append(before + value + after)
+        expected.append(f"random:{len(before)}:{len(before) + len(value)}")
+    rows = list(enumerate(texts)) + [(100 + i, "plain words of an ordinary kind go on and on in this line " * 3) for i in range(200)]
+    rows += [(400, "A_LONG_NAME_OF_SOME_SETTING=another_long_name_of_a_value"), (401, "=" * 60), (402, "some/long_path+of/words-and/other_things-in/it")]
+    found = {r["doc_id"]: r for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # Where alphabets are mixed, spans by the other cut may overlap the value's.
+    assert [e for i, e in enumerate(expected) if e not in found[i]["spans"].split(",")] == []
+    assert [found[i]["spans"] for i in (0, 1, 2, 6)] == [expected[i] for i in (0, 1, 2, 6)]
+    assert {found[i]["spans"] for i in found if i >= 100} == {""}
+
+
 # Languages and toxicity
 
 
