@@ -14,10 +14,12 @@ from starlens.llm.fingerprints import op2_fingerprints
 from starlens.llm.languages import op9_language_id
 from starlens.llm.mixing import op5_mixing
 from starlens.llm.near_duplicates import op6_near_duplicates
+from starlens.llm.packing import op11_packing
 from starlens.llm.secrets import op3_secrets
 from starlens.llm.token_counts import op8_token_counts
 from starlens.llm.token_store import op4_token_store
 from starlens.llm.toxicity import op10_toxicity
+from starlens.llm.whitening import op13_whitening
 from starlens.session import prepare
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -56,6 +58,8 @@ QUERIES = {
         op8_token_counts,
         op9_language_id,
         op10_toxicity,
+        op11_packing,
+        op13_whitening,
     )
 }
 
