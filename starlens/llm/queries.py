@@ -12,6 +12,8 @@ from starlens.llm.cross_entropy import op1_cross_entropy
 from starlens.llm.decontamination import op7_decontamination
 from starlens.llm.fingerprints import op2_fingerprints
 from starlens.llm.languages import op9_language_id
+from starlens.llm.lexical_search import ORACLE_SQL as LEXICAL_SEARCH_SQL
+from starlens.llm.lexical_search import op12_lexical_search
 from starlens.llm.mixing import op5_mixing
 from starlens.llm.near_duplicates import op6_near_duplicates
 from starlens.llm.packing import op11_packing
@@ -59,8 +61,9 @@ QUERIES = {
         op9_language_id,
         op10_toxicity,
         op11_packing,
+        op12_lexical_search,
         op13_whitening,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_lexical_search": LEXICAL_SEARCH_SQL}
