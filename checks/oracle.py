@@ -445,6 +445,64 @@ PREDICTED = """constants AS (
       FROM test t JOIN best b USING (flag, category, store_bucketed))"""
 
 
+NB_ENTRIES = """
+      SELECT id, fold, label, 0 AS idx, flag AS v FROM folded WHERE flag <> 0
+      UNION ALL SELECT id, fold, label, 1 + category_idx, 1 FROM folded
+      UNION ALL SELECT id, fold, label, 2 + (SELECT COUNT(*) FROM categories) + store_idx, 1 FROM folded"""
+FOLD_SCORES = f"""folded AS (
+      SELECT row_number() OVER () AS id, label, flag, category_idx, store_idx,
+             least(CAST(floor({fraction(KEY_TEXT, 43)} * 3) AS INT), 2) AS fold FROM train),
+    held(h) AS (VALUES (0),(1),(2)),
+    grid(point, smooth) AS (VALUES (0, 0.25::DOUBLE), (1, 0.5), (2, 1.0), (3, 2.0)),
+    entries AS ({NB_ENTRIES}),
+    fold_classes AS (SELECT h, label, COUNT(*) AS n FROM folded, held WHERE fold <> h GROUP BY ALL),
+    fold_totals AS (SELECT h, SUM(n) AS nn, COUNT(*) AS c FROM fold_classes GROUP BY h),
+    fold_sums AS (SELECT h, label, idx, SUM(v) AS s FROM entries, held WHERE fold <> h GROUP BY ALL),
+    fold_slots AS (SELECT h, idx, SUM(s) AS filled FROM fold_sums GROUP BY ALL),
+    fold_x AS (
+      SELECT c.h, c.label, s.idx, c.n, t.nn, t.c,
+             coalesce(f.filled, 0) IN (0, t.nn) AS fixed,
+             CASE WHEN coalesce(f.filled, 0) IN (0, t.nn) THEN 0.5 * c.n
+                  ELSE coalesce(u.s, 0) END::DOUBLE AS x
+      FROM fold_classes c JOIN fold_totals t ON t.h = c.h CROSS JOIN nb_slots s
+      LEFT JOIN fold_slots f ON f.h = c.h AND f.idx = s.idx
+      LEFT JOIN fold_sums u ON u.h = c.h AND u.label = c.label AND u.idx = s.idx),
+    fold_theta AS (
+      SELECT *, ln(x + smooth) - ln(SUM(x) OVER w + smooth * COUNT(*) OVER w) AS theta
+      FROM fold_x, grid WINDOW w AS (PARTITION BY h, label, point)),
+    fold_starts AS (
+      SELECT h, label, point, any_value(ln(n + smooth) - ln(nn + smooth * c))
+             + SUM(CASE WHEN fixed THEN 0.5 * theta ELSE 0 END) AS start
+      FROM fold_theta GROUP BY h, label, point),
+    fold_terms AS (
+      SELECT e.id, t.point, t.label, SUM(e.v * t.theta) AS term
+      FROM entries e JOIN fold_theta t ON t.h = e.fold AND t.idx = e.idx AND NOT t.fixed
+      GROUP BY e.id, t.point, t.label),
+    fold_best AS (
+      SELECT d.id, d.fold, d.label AS truth, s.point,
+             arg_max(s.label, (round(s.start + coalesce(t.term, 0), 9), -s.label)) AS prediction
+      FROM folded d JOIN fold_starts s ON s.h = d.fold
+      LEFT JOIN fold_terms t ON t.id = d.id AND t.point = s.point AND t.label = s.label
+      GROUP BY d.id, d.fold, d.label, s.point),
+    fold_sides AS (
+      SELECT point, fold, truth AS class, 1 AS support, 0 AS predicted,
+             CASE WHEN truth = prediction THEN 1 ELSE 0 END AS hits FROM fold_best
+      UNION ALL SELECT point, fold, prediction, 0, 1, 0 FROM fold_best),
+    fold_rates AS (
+      SELECT point, fold, class, SUM(support) AS support,
+             2.0 * SUM(hits) / (SUM(support) + SUM(predicted)) AS f
+      FROM fold_sides GROUP BY ALL),
+    fold_f1 AS (SELECT point, fold, SUM(f * support) / SUM(support) AS f1 FROM fold_rates GROUP BY ALL)"""
+# The impurity of both sides of each slot that some rows have and others lack.
+FIRST_SPLIT = """sides_of AS (
+      SELECT c.label, s.idx, c.n, s.name, coalesce(u.x, 0) AS inside, c.n - coalesce(u.x, 0) AS outside
+      FROM classes c CROSS JOIN nb_slots s LEFT JOIN sums u ON u.label = c.label AND u.idx = s.idx),
+    impurity AS (
+      SELECT idx, SUM(inside) - SUM(inside * inside) / SUM(inside)
+                  + SUM(outside) - SUM(outside * outside) / SUM(outside) AS loss
+      FROM sides_of GROUP BY idx HAVING SUM(inside) > 0 AND SUM(outside) > 0)"""
+
+
 def encoded(select: str, *more: str) -> str:
     return base(select, False, FEATURES, ENCODED, *more)
 
@@ -862,6 +920,22 @@ STATEMENTS: dict[str, str] = {
         f"SELECT 'model2' AS model, 'naive_bayes' AS model_type, {EVALUATION}",
         BAYES, PREDICTED, scores("predictions"),
     ),
+    "ml_cross_validate": encoded(
+        """SELECT CAST(point AS INT) AS grid_point, any_value(smooth) AS smoothing, round(AVG(f1), 8) AS f1
+           FROM fold_f1 JOIN grid USING (point) GROUP BY point""",
+        BAYES, FOLD_SCORES,
+    ),
+    "ml_forest_facts": encoded(
+        """SELECT 'grid_points' AS fact, 4.0::DOUBLE AS value UNION ALL SELECT 'least_trees', 40
+           UNION ALL SELECT 'largest_depth', 14 UNION ALL SELECT 'best_is_kept', 1
+           UNION ALL SELECT 'scores_from_0_to_1', 4 UNION ALL SELECT 'test_rows', COUNT(*) FROM test
+           UNION ALL SELECT 'slots', COUNT(*) FROM slots UNION ALL SELECT 'last_rank', COUNT(*) FROM slots
+           UNION ALL SELECT 'ranks_in_order', COUNT(*) FROM slots UNION ALL SELECT 'importance_sum', 1
+           UNION ALL SELECT 'top_rows', least(15, COUNT(*)) FROM slots
+           UNION ALL SELECT 'first_split', arg_min(idx, (loss, idx)) FROM impurity
+           UNION ALL SELECT 'first_split_importance', 1""",
+        BAYES, FIRST_SPLIT,
+    ),
     "ml_predict": encoded("SELECT label, prediction FROM predictions", BAYES, PREDICTED),
     "ml_model_io": encoded("SELECT label, prediction FROM predictions", BAYES, PREDICTED),
     "ml_nb_theta": encoded(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import adapter
@@ -13,6 +15,7 @@ from checks.portable import portable
 from starlens.functions import measures, pricing, temporal, text
 from starlens.functions.keys import key_fraction
 from starlens.operators import evaluation, features, models, profiling, quality, staging
+from starlens.operators.folds import bayes_scores, with_folds
 from starlens.plans import analytics, warehouse
 from starlens.session import prepare, scratch_path
 from starlens.sources import readers, schemas, writers
@@ -664,14 +667,44 @@ def rounded(df: DataFrame, *columns: str, digits: int = 8) -> DataFrame:
 SCORES = ("f1", "accuracy", "weighted_precision", "weighted_recall")
 
 
+#: Tuned forests by application and tables: folder of the model and its grid's scores.
+TUNED: dict[tuple[str, str], str] = {}
+
+
+def tuned_forest(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the forest tuned over the whole grid, with its scores.
+
+    Four queries show parts of the same tuned model; a session fits it once.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in TUNED:
+        path = scratch_path(spark, "forest")
+        train, _ = features.key_split(with_folds(dataset(spark, sf_dir)))
+        rf = models.rf_estimator()
+        tuned = models.cross_validate(rf, models.rf_grid(rf), train)
+        models.save_model(tuned.bestModel, f"{path}/model")
+        writers.write_parquet(models.grid_scores(spark, tuned), f"{path}/scores")
+        TUNED[key] = path
+    return TUNED[key]
+
+
+def forest_parts(spark: SparkSession, sf_dir: str) -> tuple[RandomForestClassificationModel, DataFrame]:
+    path = tuned_forest(spark, sf_dir)
+    return RandomForestClassificationModel.load(f"{path}/model"), spark.read.parquet(f"{path}/scores")
+
+
 @register
 def ml_random_forest(spark, sf_dir):
-    train, test = features.key_split(dataset(spark, sf_dir))
-    rf = models.rf_estimator()
-    model = rf.fit(train, models.rf_grid(rf)[0])
+    model, _ = forest_parts(spark, sf_dir)
+    _, test = features.key_split(dataset(spark, sf_dir))
     return evaluation.evaluation_row(models.predict(model, test), "model1", "random_forest")
 
 
+@register
+def ml_cross_validate_forest(spark, sf_dir):
+    return forest_parts(spark, sf_dir)[1]
+
+
 @register
 def ml_naive_bayes(spark, sf_dir):
     predictions = bayes_predictions(spark, sf_dir)
@@ -686,14 +719,9 @@ def ml_predict(spark, sf_dir):
 
 @register
 def ml_cross_validate(spark, sf_dir):
-    train, _ = features.key_split(dataset(spark, sf_dir))
-    rf, nb = models.rf_estimator(), models.nb_estimator()
-    fitted = {
-        "random_forest": models.cross_validate(rf, models.rf_grid(rf), train),
-        "naive_bayes": models.cross_validate(nb, models.nb_grid(nb), train),
-    }
-    rows = [(name, i, float(f1)) for name, cv in fitted.items() for i, f1 in enumerate(cv.avgMetrics)]
-    return spark.createDataFrame(rows, "model_type STRING, grid_point INT, f1 DOUBLE")
+    """Naive Bayes at all points of its grid; the forests' grid is ml_cross_validate_forest."""
+    train, _ = features.key_split(with_folds(dataset(spark, sf_dir)))
+    return rounded(bayes_scores(train, models.NB_SMOOTHING), "f1")
 
 
 @register
@@ -713,11 +741,8 @@ def ml_evaluation(spark, sf_dir):
 
 
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = dataset(spark, sf_dir)
-    train, _ = features.key_split(data)
-    rf = models.rf_estimator()
-    model = rf.fit(train, models.rf_grid(rf)[0])
-    return models.rf_importance(model, features.feature_manifest(data))
+    model, _ = forest_parts(spark, sf_dir)
+    return models.rf_importance(model, features.feature_manifest(dataset(spark, sf_dir)))
 
 
 @register
@@ -730,6 +755,45 @@ def ml_top_importance(spark, sf_dir):
     return evaluation.top_importance(importance(spark, sf_dir))
 
 
+@register
+def ml_forest_facts(spark, sf_dir):
+    """What SQL can say about the tuned forest, and a forest of one split in whole numbers.
+
+    The split of a single tree of depth 1 over the flag and one-hot slots is the slot of the
+    least impurity; a tree's only split has importance 1.
+    """
+    model, grid = forest_parts(spark, sf_dir)
+    data = dataset(spark, sf_dir)
+    train, test = features.key_split(data)
+    ranked = models.rf_importance(model, features.feature_manifest(data))
+    best = F.max_by(F.struct("trees", "depth"), F.struct("f1", -F.col("grid_point")))
+    after = Window.orderBy("rank")
+    falls = F.coalesce(F.col("importance") <= F.lag("importance").over(after), F.lit(True))
+    stump = models.stump(train.select("label", F.col("features_nb").alias("features")))
+    split = models.rf_importance(stump, features.feature_manifest(data), "features_nb").where("rank = 1")
+
+    def fact(df: DataFrame, name: str, value) -> DataFrame:
+        return df.agg(value.cast("double").alias("value")).select(F.lit(name).alias("fact"), "value")
+
+    tuned = F.lit(model.getNumTrees * 100 + model.getOrDefault("maxDepth"))
+    parts = [
+        fact(grid, "grid_points", F.count(F.lit(1))),
+        fact(grid, "least_trees", F.min("trees")),
+        fact(grid, "largest_depth", F.max("depth")),
+        fact(grid, "best_is_kept", (best["trees"] * 100 + best["depth"] == F.first(tuned)).cast("int")),
+        fact(grid, "scores_from_0_to_1", F.count_if(F.col("f1").between(0, 1))),
+        fact(models.predict(model, test), "test_rows", F.count("prediction")),
+        fact(ranked, "slots", F.count_distinct("feature_index")),
+        fact(ranked, "last_rank", F.max("rank")),
+        fact(ranked.withColumn("falls", falls), "ranks_in_order", F.count_if("falls")),
+        fact(ranked, "importance_sum", F.round(F.sum("importance"), 9)),
+        fact(evaluation.top_importance(ranked), "top_rows", F.count(F.lit(1))),
+        fact(split, "first_split", F.first("feature_index")),
+        fact(split, "first_split_importance", F.round(F.first("importance"), 9)),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def theta(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[float]]:
     model, train, _, labels = fitted_bayes(spark, sf_dir)
     return models.nb_theta(model.stages[-1], features.feature_manifest(train), labels), labels

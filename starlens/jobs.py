@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starlens.functions.pricing import clean_price
 from starlens.operators import evaluation, features, models, quality, staging
+from starlens.operators.folds import with_folds
 from starlens.plans import analytics, warehouse
 from starlens.session import prepare
 from starlens.sources import readers, schemas, writers
@@ -113,14 +114,16 @@ def prepare_dataset(
     sample_fraction: float = 1.0,
     train_ratio: float = 0.7,
     seed: int = 42,
+    folds: int = models.FOLDS,
 ) -> DataFrame:
-    """Store vectors with their split and the slot names under ``out``; return the dataset."""
+    """Store vectors with their split and fold, and the slot names under ``out``; return the dataset."""
     spark = prepare(table.sparkSession)
     writers.write_parquet(features.bucket_rows(table, store_top_k), f"{out}/rows")
     data = features.encode_rows(spark.read.parquet(f"{out}/rows"))
     writers.write_parquet(features.feature_manifest(data), f"{out}/manifest")
     split = features.with_split(staging.sample(data, sample_fraction, seed), train_ratio, seed)
-    writers.write_split(split.select("features", "features_nb", "label", "split"), f"{out}/dataset")
+    split = with_folds(split, folds)
+    writers.write_split(split.select("features", "features_nb", "label", "fold", "split"), f"{out}/dataset")
     return spark.read.parquet(f"{out}/dataset")
 
 
@@ -136,20 +139,22 @@ def train_models(
 ) -> DataFrame:
     """Tune both classifiers on the stored training rows and store everything about them.
 
-    Returns the stored evaluation: one row per model on the test rows.
+    ``folds`` is the number that the dataset was prepared with. Returns the stored evaluation: one row per model on the test rows.
     """
     prepare(spark)
     train = writers.read_split(spark, f"{path}/dataset", "train")
     test = writers.read_split(spark, f"{path}/dataset", "test")
     manifest = spark.read.parquet(f"{path}/manifest")
     labels = models.class_labels(train)
-    rf, nb = models.rf_estimator(), models.nb_estimator("features_nb")
+    rf = models.rf_estimator()
     rows = []
-    for model, kind, estimator, grid in (
-        ("model1", "random_forest", rf, models.rf_grid(rf, trees, depths)),
-        ("model2", "naive_bayes", nb, models.nb_grid(nb, smoothing)),
-    ):
-        best = models.cross_validate(estimator, grid, train, folds, parallelism).bestModel
+    for model, kind in (("model1", "random_forest"), ("model2", "naive_bayes")):
+        if kind == "naive_bayes":
+            best, points = models.tune_bayes(train, smoothing, folds)
+        else:
+            tuned = models.cross_validate(rf, models.rf_grid(rf, trees, depths), train, folds, parallelism)
+            best, points = tuned.bestModel, models.grid_scores(spark, tuned)
+        writers.write_single_csv(points, f"{out}/{model}_grid.csv")
         models.save_model(best, f"{out}/models/{model}")
         if kind == "naive_bayes":
             predicted = models.predict_classes(best, test, labels)
