@@ -524,11 +524,17 @@ def bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors, written once and read back: every fit reads them several times."""
+def dataset_and_names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors, written once and read back as every fit reads them several times, and slot names."""
     path = scratch_path(spark, "ml_vectors")
-    writers.write_parquet(features.encode_rows(bucketed(spark, sf_dir)), path)
-    return spark.read.parquet(path)
+    data, manifest = features.encode_rows(bucketed(spark, sf_dir))
+    writers.write_parquet(data, f"{path}/data")
+    writers.write_parquet(manifest, f"{path}/manifest")
+    return spark.read.parquet(f"{path}/data"), spark.read.parquet(f"{path}/manifest")
+
+
+def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset_and_names(spark, sf_dir)[0]
 
 
 def cells(df: DataFrame, *vectors: str) -> DataFrame:
@@ -616,7 +622,7 @@ def ft_sanitize_vectors(spark, sf_dir):
 
 @register
 def ft_manifest(spark, sf_dir):
-    return features.feature_manifest(dataset(spark, sf_dir))
+    return dataset_and_names(spark, sf_dir)[1]
 
 
 @register
@@ -650,9 +656,10 @@ def catalogue_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fitted_bayes(spark: SparkSession, sf_dir: str):
-    """Naive Bayes on 70 % of the reviews: model, training and test rows, labels."""
-    train, test = features.key_split(dataset(spark, sf_dir))
-    return models.nb_estimator().fit(train), train, test, models.class_labels(train)
+    """Naive Bayes on 70 % of the reviews: model, slot names, test rows, labels."""
+    data, names = dataset_and_names(spark, sf_dir)
+    train, test = features.key_split(data)
+    return models.nb_estimator().fit(train), names, test, models.class_labels(train)
 
 
 def bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -742,7 +749,7 @@ def ml_evaluation(spark, sf_dir):
 
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _ = forest_parts(spark, sf_dir)
-    return models.rf_importance(model, features.feature_manifest(dataset(spark, sf_dir)))
+    return models.rf_importance(model, dataset_and_names(spark, sf_dir)[1])
 
 
 @register
@@ -763,14 +770,14 @@ def ml_forest_facts(spark, sf_dir):
     least impurity; a tree's only split has importance 1.
     """
     model, grid = forest_parts(spark, sf_dir)
-    data = dataset(spark, sf_dir)
+    data, names = dataset_and_names(spark, sf_dir)
     train, test = features.key_split(data)
-    ranked = models.rf_importance(model, features.feature_manifest(data))
+    ranked = models.rf_importance(model, names)
     best = F.max_by(F.struct("trees", "depth"), F.struct("f1", -F.col("grid_point")))
     after = Window.orderBy("rank")
     falls = F.coalesce(F.col("importance") <= F.lag("importance").over(after), F.lit(True))
     stump = models.stump(train.select("label", F.col("features_nb").alias("features")))
-    split = models.rf_importance(stump, features.feature_manifest(data), "features_nb").where("rank = 1")
+    split = models.rf_importance(stump, names, "features_nb").where("rank = 1")
 
     def fact(df: DataFrame, name: str, value) -> DataFrame:
         return df.agg(value.cast("double").alias("value")).select(F.lit(name).alias("fact"), "value")
@@ -795,8 +802,8 @@ def ml_forest_facts(spark, sf_dir):
 
 
 def theta(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[float]]:
-    model, train, _, labels = fitted_bayes(spark, sf_dir)
-    return models.nb_theta(model.stages[-1], features.feature_manifest(train), labels), labels
+    model, names, _, labels = fitted_bayes(spark, sf_dir)
+    return models.nb_theta(model.stages[-1], names, labels), labels
 
 
 def priors(spark: SparkSession, sf_dir: str) -> DataFrame:

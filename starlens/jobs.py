@@ -119,8 +119,8 @@ def prepare_dataset(
     """Store vectors with their split and fold, and the slot names under ``out``; return the dataset."""
     spark = prepare(table.sparkSession)
     writers.write_parquet(features.bucket_rows(table, store_top_k), f"{out}/rows")
-    data = features.encode_rows(spark.read.parquet(f"{out}/rows"))
-    writers.write_parquet(features.feature_manifest(data), f"{out}/manifest")
+    data, manifest = features.encode_rows(spark.read.parquet(f"{out}/rows"))
+    writers.write_parquet(manifest, f"{out}/manifest")
     split = features.with_split(staging.sample(data, sample_fraction, seed), train_ratio, seed)
     split = with_folds(split, folds)
     writers.write_split(split.select("features", "features_nb", "label", "fold", "split"), f"{out}/dataset")

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType, StructType
 
 from starlens.functions import text
 from starlens.functions.keys import key_fraction, review_key
+from starlens.functions.vectors import entries, sparse_vector, vector_of
+from starlens.session import scratch_path
 
 # Fixed values.
 NUMERIC_FEATURES = (
@@ -42,12 +45,35 @@ def check_contract(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df
 
 
+def dictionary(df: DataFrame, col: str) -> DataFrame:
+    """(value, n, index): positions of the values by falling frequency, equal ones by name.
+
+    Sorted ranges number their own values, and each range starts after all before it, so
+    no task and no driver holds the list. NULL has no position. The result is stored:
+    a range keeps its rows however often the dictionary is read.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "dictionary")
+    counts = df.groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    order = (F.desc("n"), F.asc("value"))
+    ranged = counts.where("value IS NOT NULL").repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    # The upper bits of a place are its range, the lower 33 bits the row within.
+    held = spark.read.parquet(path).select(
+        "value", "n", F.shiftright("place", 33).alias("range"), F.col("place").bitwiseAND((1 << 33) - 1).alias("row")
+    )
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    starts = held.groupBy("range").agg(F.count(F.lit(1)).alias("size"))
+    starts = starts.select("range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
+    return held.join(starts, "range").select("value", "n", (F.col("start") + F.col("row")).alias("index"))
+
+
 def index_label(df: DataFrame, label_col: str = "label") -> DataFrame:
     """Numeric labels as double; other labels by falling frequency, NULL labels dropped."""
     if isinstance(df.schema[label_col].dataType, NumericType):
         return df.withColumn("label", F.col(label_col).cast("double"))
-    indexer = StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="skip")
-    return indexer.fit(df).transform(df).withColumn("label", F.col("_label")).drop("_label")
+    places = dictionary(df, label_col).select(F.col("value").alias("_value"), F.col("index").alias("_index"))
+    indexed = df.join(places, F.col(label_col).cast("string") == F.col("_value")).drop("_value")
+    return indexed.withColumn("label", F.col("_index").cast("double")).drop("_index")
 
 
 def clean_categories(df: DataFrame) -> DataFrame:
@@ -89,24 +115,65 @@ def bucket_top_k(
     )
 
 
-def encoder(cols: Sequence[str] = tuple(CATEGORIES.values())) -> Pipeline:
-    """Frequency index and one-hot stages; unseen values get a slot of their own."""
-    indexed = [f"{c}_idx" for c in cols]
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCols=list(cols), outputCols=indexed, handleInvalid="keep"),
-            OneHotEncoder(
-                inputCols=indexed, outputCols=[f"{c}_ohe" for c in cols], handleInvalid="keep"
-            ),
-        ]
-    )
+@dataclass(frozen=True)
+class Encoding:
+    """The dictionary of each category column, and how many values it has.
+
+    A column has a slot for each value and one for unseen values and NULL, the last.
+    """
+
+    dictionaries: dict[str, DataFrame]
+    sizes: dict[str, int]
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Add position and one-hot vector of each column. Spark joins by measured size."""
+        columns = df.columns
+        for i, (c, places) in enumerate(self.dictionaries.items()):
+            named = places.select(F.col("value").alias(f"_value_{i}"), F.col("index").alias(f"_index_{i}"))
+            df = df.join(named, F.col(c).cast("string") == F.col(f"_value_{i}"), "left")
+        unseen = [F.lit(self.sizes[c]) for c in self.dictionaries]
+        df = df.select(
+            *columns,
+            *[
+                F.coalesce(F.col(f"_index_{i}"), unseen[i]).cast("double").alias(f"{c}_idx")
+                for i, c in enumerate(self.dictionaries)
+            ],
+        )
+        indexed = [f"{c}_idx" for c in self.dictionaries]
+        slots = OneHotEncoder(
+            inputCols=indexed, outputCols=[f"{c}_ohe" for c in self.dictionaries], handleInvalid="keep"
+        )
+        # The largest position is all that it has to know, so it is fitted from one row.
+        largest = df.sparkSession.createDataFrame([tuple(float(n) for n in self.sizes.values())], indexed)
+        return slots.fit(largest).transform(df)
+
+    def manifest(self, spark: SparkSession) -> DataFrame:
+        """(vector, idx, name) rows for the assembled vectors; as many rows as slots."""
+        sources = {column: source for source, column in CATEGORIES.items()}
+        parts = []
+        for vector, numbers in (("features", (*NUMERIC_FEATURES, FLAG)), ("features_nb", (FLAG,))):
+            plain = [(vector, i, name) for i, name in enumerate(numbers)]
+            first = len(numbers)
+            for c, places in self.dictionaries.items():
+                name = F.concat(F.lit(f"{sources.get(c, c)}="), F.col("value"))
+                idx = (F.col("index") + first).cast("int")
+                parts.append(places.select(F.lit(vector).alias("vector"), idx.alias("idx"), name.alias("name")))
+                first += self.sizes[c] + 1
+                plain.append((vector, first - 1, f"{sources.get(c, c)}=__unknown"))
+            parts.append(spark.createDataFrame(plain, "vector STRING, idx INT, name STRING"))
+        return reduce(DataFrame.unionByName, parts)
+
+
+def fit_encoding(df: DataFrame, cols: Sequence[str] = tuple(CATEGORIES.values())) -> Encoding:
+    dictionaries = {c: dictionary(df, c) for c in cols}
+    return Encoding(dictionaries, {c: places.count() for c, places in dictionaries.items()})
 
 
 def index_and_encode(
     df: DataFrame, cols: Sequence[str] = tuple(CATEGORIES.values())
-) -> tuple[DataFrame, PipelineModel]:
-    model = encoder(cols).fit(df)
-    return model.transform(df), model
+) -> tuple[DataFrame, Encoding]:
+    encoding = fit_encoding(df, cols)
+    return encoding.apply(df), encoding
 
 
 def clean_numeric(df: DataFrame) -> DataFrame:
@@ -142,17 +209,18 @@ def bucket_rows(features: DataFrame, store_top_k: int = STORE_TOP_K) -> DataFram
     return bucket_top_k(cleaned, "store_clean", store_top_k, out=CATEGORIES["store"])
 
 
-def encode_rows(bucketed: DataFrame) -> DataFrame:
-    """Bucketed rows to vectors, with the source columns kept.
+def encode_rows(bucketed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bucketed rows to vectors, with the source columns kept, and the names of their slots.
 
-    Fitting the index reads the rows once more: store them first when they are
+    Fitting the dictionaries reads the rows once for each: store them first when they are
     costly to compute.
     """
-    return assemble(clean_numeric(index_and_encode(bucketed)[0]))
+    encoded, encoding = index_and_encode(bucketed)
+    return assemble(clean_numeric(encoded)), encoding.manifest(bucketed.sparkSession)
 
 
-def build_dataset(features: DataFrame, store_top_k: int = STORE_TOP_K) -> DataFrame:
-    """Feature table to vectors: the whole chain."""
+def build_dataset(features: DataFrame, store_top_k: int = STORE_TOP_K) -> tuple[DataFrame, DataFrame]:
+    """Feature table to vectors and slot names: the whole chain."""
     return encode_rows(bucket_rows(features, store_top_k))
 
 
@@ -180,17 +248,15 @@ def key_split(
 def sanitize(df: DataFrame, dim: int, col: str = "features") -> DataFrame:
     """Cut or zero-pad vectors to ``dim`` and zero NaN, infinite and negative values.
 
-    Use the dimension of the training data for the test data as well.
+    Only slots that aren't zero are looked at, and the result is sparse. Use the
+    dimension of the training data for the test data as well.
     """
-    zero = F.lit(0.0)
-    values = F.when(F.col(col).isNotNull(), vector_to_array(F.col(col))).otherwise(
-        F.array().cast("array<double>")
+    usable = F.filter(
+        entries(F.col(col)),
+        lambda e: (e["slot"] < dim) & (e["value"] > 0) & (e["value"] < F.lit(float("inf"))),
     )
-    cleaned = F.transform(
-        values, lambda x: F.when((x > zero) & (x < F.lit(float("inf"))), x).otherwise(zero)
-    )
-    padded = F.slice(F.concat(cleaned, F.array_repeat(zero, dim)), 1, dim)
-    return df.withColumn(col, array_to_vector(padded))
+    none = F.array().cast("array<struct<slot:int,value:double>>")
+    return df.withColumn(col, sparse_vector(dim, F.coalesce(usable, none)))
 
 
 def vector_dimension(df: DataFrame, col: str = "features") -> int:
@@ -198,41 +264,15 @@ def vector_dimension(df: DataFrame, col: str = "features") -> int:
     attributes = df.schema[col].metadata.get("ml_attr", {})
     if attributes.get("num_attrs"):
         return attributes["num_attrs"]
-    widest = df.agg(F.max(F.size(vector_to_array(F.col(col)))).alias("n")).first()["n"]
+    widest = df.agg(F.max(_width(F.col(col))).alias("n")).first()["n"]
     if widest is None:
         raise ValueError(f"no vectors in column {col!r}")
     return widest
 
 
-def vector_names(df: DataFrame, col: str = "features") -> list[str]:
-    """Slot names of an assembled vector, in slot order.
-
-    They come from the attributes Spark keeps with the column, so there are as
-    many names as slots, including the slots for unseen values.
-    """
-    attributes = df.schema[col].metadata["ml_attr"]
-    names = {
-        a["idx"]: a.get("name") for group in attributes["attrs"].values() for a in group
-    }
-    return [
-        _readable(names.get(i)) or f"{col}_{i}" for i in range(attributes["num_attrs"])
-    ]
-
-
-def _readable(name: str | None) -> str | None:
-    for source, column in CATEGORIES.items():
-        prefix = f"{column}_ohe_"
-        if name and name.startswith(prefix):
-            return f"{source}={name[len(prefix):]}"
-    return name
-
-
-def feature_manifest(
-    df: DataFrame, cols: Sequence[str] = ("features", "features_nb")
-) -> DataFrame:
-    """(vector, idx, name) rows for the assembled vectors; as many rows as slots."""
-    rows = [(c, i, name) for c in cols for i, name in enumerate(vector_names(df, c))]
-    return df.sparkSession.createDataFrame(rows, "vector STRING, idx INT, name STRING")
+def _width(vector: Column) -> Column:
+    held = F.unwrap_udt(vector)
+    return F.coalesce(held["size"], F.size(held["values"]))
 
 
 def _as_vector(df: DataFrame, col: str) -> Column:
@@ -244,12 +284,7 @@ def _as_vector(df: DataFrame, col: str) -> Column:
     values = value["values"].cast("array<double>")
     if "indices" not in kind.names:
         return array_to_vector(values)
-    slots = F.map_from_arrays(value["indices"].cast("array<int>"), values)
-    spread = F.transform(
-        F.sequence(F.lit(0), value["size"].cast("int") - 1),
-        lambda i: F.coalesce(F.try_element_at(slots, i), F.lit(0.0)),
-    )
-    return array_to_vector(F.when(value["indices"].isNull(), values).otherwise(spread))
+    return vector_of(value["size"].cast("int"), value["indices"].cast("array<int>"), values)
 
 
 def normalize_vectors(df: DataFrame) -> DataFrame:

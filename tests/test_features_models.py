@@ -28,8 +28,19 @@ def table(spark):
 
 
 @pytest.fixture(scope="module")
-def data(table):
-    return features.build_dataset(table, store_top_k=3).cache()
+def dataset(table):
+    data, names = features.build_dataset(table, store_top_k=3)
+    return data.cache(), names.cache()
+
+
+@pytest.fixture(scope="module")
+def data(dataset):
+    return dataset[0]
+
+
+@pytest.fixture(scope="module")
+def names(dataset):
+    return dataset[1]
 
 
 def test_contract(table):
@@ -54,13 +65,40 @@ def test_text_labels_are_indexed(spark):
     assert got == [("x", 1.0), ("y", 0.0), ("y", 0.0)]
 
 
-def test_names_cover_every_slot(data):
+def test_names_cover_every_slot(data, names):
     first = data.first()
     for col in ("features", "features_nb"):
-        names = features.vector_names(data, col)
-        assert len(names) == first[col].size == features.vector_dimension(data, col)
-    assert names[0] == "verified_purchase_num"
-    assert {"main_category=unknown", "main_category=__unknown", "store=other"} <= set(names)
+        held = {r["idx"]: r["name"] for r in names.where(F.col("vector") == col).collect()}
+        assert sorted(held) == list(range(first[col].size)) == list(range(features.vector_dimension(data, col)))
+    assert held[0] == "verified_purchase_num"
+    assert {"main_category=unknown", "main_category=__unknown", "store=other"} <= set(held.values())
+
+
+def test_dictionary_over_many_ranges(spark):
+    """Frequencies that tie over the borders of ranges; values fill all of them."""
+    rows = [(f"v{i:04d}",) for i in range(1500) for _ in range(1 + i % 3)] + [(None,)] * 50
+    df = spark.createDataFrame(rows, "c STRING").repartition(5)
+    got = {r["value"]: r["index"] for r in features.dictionary(df, "c").collect()}
+    ordered = sorted({v for (v,) in rows if v}, key=lambda v: (-(1 + int(v[1:]) % 3), v))
+    assert got == {v: i for i, v in enumerate(ordered)}
+    assert features.dictionary(df.limit(0), "c").count() == 0
+
+
+def test_unseen_values_have_the_last_slot(spark):
+    seen = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "c STRING")
+    encoding = features.fit_encoding(seen, ("c",))
+    late = encoding.apply(spark.createDataFrame([("a",), ("z",), (None,), ("b",)], "c STRING")).collect()
+    assert {r["c"]: (r["c_idx"], list(r["c_ohe"])) for r in late} == {
+        "b": (0.0, [1, 0, 0]), "a": (1.0, [0, 1, 0]), "z": (2.0, [0, 0, 1]), None: (2.0, [0, 0, 1]),
+    }
+
+
+def test_no_list_of_values_reaches_the_driver(table):
+    """The plan of an encoded frame names no value; only sizes are literals."""
+    encoded, _ = features.index_and_encode(features.clean_categories(features.index_label(table)), ("store_clean",))
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+    assert "s1" not in plan and "s4" not in plan and "Join" in plan
+    assert "vals" not in str(encoded.schema["store_clean_idx"].metadata)
 
 
 def test_sanitize(spark):
@@ -110,24 +148,24 @@ def test_naive_bayes_predicts_label_values(data):
     assert got == {labels[int(i)] for i in raw}
 
 
-def test_naive_bayes_tables(spark, data):
+def test_naive_bayes_tables(spark, data, names):
     train, _ = features.key_split(data)
     model = models.nb_estimator().fit(train).stages[-1]
-    names, labels = features.vector_names(train, "features_nb"), models.class_labels(train)
-    theta = models.nb_theta(model, features.feature_manifest(train), labels)
-    assert theta.count() == len(names) * len(labels)
+    labels = models.class_labels(train)
+    theta = models.nb_theta(model, names, labels)
+    assert theta.count() == names.where("vector = 'features_nb'").count() * len(labels)
     total = theta.groupBy("label_value").agg(F.sum(F.exp("log_conditional_probability")).alias("p"))
     assert all(r["p"] == pytest.approx(1) for r in total.collect())
     probs = evaluation.prior_probs(models.nb_priors(spark, model, labels))
     assert probs.agg(F.sum("prior")).first()[0] == pytest.approx(1)
 
 
-def test_cross_validated_forest(spark, data):
+def test_cross_validated_forest(spark, data, names):
     train, test = features.key_split(data)
     rf = models.rf_estimator()
     assert len(models.rf_grid(rf)) == 4 and len(models.nb_grid(models.nb_estimator())) == 4
     best = models.cross_validate(rf, models.rf_grid(rf, (2,), (2,)), train, folds=2).bestModel
-    table = models.rf_importance(best, features.feature_manifest(data))
+    table = models.rf_importance(best, names)
     got = table.orderBy("rank").collect()
     values = [r["importance"] for r in got]
     assert values == sorted(values, reverse=True) and sum(values) == pytest.approx(1)
