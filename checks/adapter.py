@@ -145,7 +145,14 @@ def review_lines(spark: SparkSession, sf_dir: str, copies: bool = False) -> Data
         F.col("verified_purchase"),
     )
     explicit = F.to_json(cells, {"ignoreNullFields": "false"})
-    return df.select(F.when(F.col("line") == 3, explicit).otherwise(F.to_json(cells)).alias("value"))
+    value = F.when(F.col("line") == 3, explicit).otherwise(F.to_json(cells))
+    # Lines 5 and up spell the flag in other ways that mean the same.
+    flag, other = '"verified_purchase":', value
+    for meant, spellings in (("true", ('"false"', '"0"', "1.5", "[0]")), ("false", ("0.00", "[]", '""', "{}"))):
+        chosen = F.element_at(F.array(*map(F.lit, spellings)), F.col("quantity") % len(spellings) + 1)
+        other = F.replace(other, F.lit(flag + meant), F.concat(F.lit(flag), chosen))
+    value = F.when(F.col("line") >= 5, other).otherwise(value)
+    return df.select(value.alias("value"))
 
 
 def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -406,15 +406,11 @@ def dq_required_keys(spark, sf_dir):
     )
 
 
-# The smallest accepted full load.
-MIN_REVIEWS, MIN_METADATA = 2_000_000, 10_000
-
-
 @register
 def dq_min_rows(spark, sf_dir):
     reviews, products = analytic(spark, sf_dir)
-    return quality.min_rows(reviews, MIN_REVIEWS, "reviews").unionByName(
-        quality.min_rows(products, MIN_METADATA, "metadata")
+    return quality.min_rows(reviews, quality.FULL_REVIEWS, "reviews").unionByName(
+        quality.min_rows(products, quality.FULL_METADATA, "metadata")
     )
 
 

@@ -15,8 +15,8 @@ WHITESPACE_CODE_POINTS = (
 # The spellings of true accepted in text columns.
 TRUE_WORDS = ("1", "true", "yes", "y")
 
-# JSON scalars and empty containers that count as false.
-FALSY_JSON = ("", "0", "0.0", "false", "[]", "{}")
+# JSON values that count as false; quoted text does unless it is empty.
+FALSY_JSON = ("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}")
 
 # Text that reads as a finite decimal number.
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
@@ -67,8 +67,11 @@ def verified_as_number(col: Column) -> Column:
 
 
 def json_truthy(col: Column) -> Column:
-    """Truth value of a JSON cell read as text; a missing cell is false."""
-    return F.coalesce(~col.isin(*FALSY_JSON), F.lit(False))
+    """Truth value of a JSON cell read as a variant; a missing cell is false.
+
+    The texts ``"false"`` and ``"0"`` are true, as all text that isn't empty.
+    """
+    return F.coalesce(~F.to_json(col).isin(*FALSY_JSON), F.lit(False))
 
 
 def category_or_unknown(col: Column) -> Column:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.functions.pricing import clean_price
 from starlens.operators import evaluation, features, models, quality, staging
-from starlens.operators.folds import with_folds
+from starlens.operators.folds import with_fold_place, with_folds
 from starlens.plans import analytics, warehouse
 from starlens.session import prepare
 from starlens.sources import readers, schemas, writers
@@ -27,43 +27,88 @@ def ingest(
     review_lines: str,
     metadata_lines: str,
     out: str,
-    min_reviews: int = 1,
-    min_metadata: int = 1,
+    min_reviews: int | None = None,
+    min_metadata: int | None = None,
     limit: int | None = None,
+    allowed_missing: float = 0.0,
 ) -> DataFrame:
     """Stage JSON lines as Parquet under ``out`` and return the audit of the result.
 
-    Raises when lines lack a required key, a table is too small, a constraint is
-    broken, or rows got lost on the way to storage.
+    Lines and rows are counted while they are written, so nothing is read again for
+    that. With ``limit``, that many lines are stored first and everything sees those.
+    The least numbers of rows are those of a full load, or 1 under a limit.
+
+    Raises when too many lines lack a required key (a share of ``allowed_missing`` may),
+    a table is too small, a constraint is broken, or rows got lost on the way to storage.
     """
     prepare(spark)
-    raw_reviews = readers.read_json_lines(spark, review_lines, limit)
-    raw_metadata = readers.read_json_lines(spark, metadata_lines, limit)
-    quality.require(
-        quality.missing_keys(raw_reviews, schemas.REQUIRED_REVIEW_KEYS, "reviews").unionByName(
-            quality.missing_keys(raw_metadata, schemas.REQUIRED_METADATA_KEYS, "metadata")
-        )
-    )
-    products = staging.stage_metadata(raw_metadata).withColumn("price", clean_price(F.col("price")))
-    writers.write_parquet(products, f"{out}/metadata")
+    least = [quality.FULL_REVIEWS, quality.FULL_METADATA] if limit is None else [1, 1]
+    min_reviews = least[0] if min_reviews is None else min_reviews
+    min_metadata = least[1] if min_metadata is None else min_metadata
+    read = {name: Observation(f"{name}_lines") for name in ("reviews", "metadata")}
+    kept = {name: Observation(f"{name}_rows") for name in ("reviews", "metadata", "linked")}
+    rows = F.count(F.lit(1)).alias("rows")
+
+    raw = readers.read_json_lines(spark, metadata_lines, limit).observe(
+        read["metadata"], F.count_if(_no_product()).alias("_skipped"),
+        *quality.key_counts(schemas.REQUIRED_METADATA_KEYS),
+    )
+    products = staging.stage_metadata(raw).withColumn("price", clean_price(F.col("price")))
+    writers.write_parquet(products.observe(kept["metadata"], rows), f"{out}/metadata")
     products = spark.read.parquet(f"{out}/metadata")
 
-    staged = staging.stage_reviews(raw_reviews)
-    writers.write_parquet(
-        staging.stage_linked_reviews(staged, products, FIRST_COPY), f"{out}/reviews"
+    raw = readers.read_json_lines(spark, review_lines, limit).observe(
+        read["reviews"], *quality.key_counts(schemas.REQUIRED_REVIEW_KEYS)
+    )
+    writers.write_parquet(staging.stage_reviews(raw).observe(kept["reviews"], rows), f"{out}/staged_reviews")
+    quality.require(
+        quality.key_report(
+            _row(spark, read["reviews"]), schemas.REQUIRED_REVIEW_KEYS, "reviews", allowed_missing
+        ).unionByName(
+            quality.key_report(_row(spark, read["metadata"]), schemas.REQUIRED_METADATA_KEYS, "metadata", allowed_missing)
+        )
     )
+    staged = spark.read.parquet(f"{out}/staged_reviews")
+    linked = staging.stage_linked_reviews(staged, products, FIRST_COPY)
+    writers.write_parquet(linked.observe(kept["linked"], rows), f"{out}/reviews")
     reviews = spark.read.parquet(f"{out}/reviews")
     writers.write_parquet(staging.staging_counts(staged, products), f"{out}/load_counts")
-    counts = spark.read.parquet(f"{out}/load_counts")
+    expected = spark.read.parquet(f"{out}/load_counts").first()
+    found = {name: observed.get["rows"] for name, observed in kept.items()}
+    lines = {name: observed.get["_lines"] for name, observed in read.items()}
+    accounted = found["linked"] + expected["skipped_missing_meta"] + expected["deduped"]
     report = (
-        quality.min_rows(reviews, min_reviews, "reviews")
-        .unionByName(quality.min_rows(products, min_metadata, "metadata"))
-        .unionByName(quality.row_count(reviews, counts.first()["written"], "reviews"))
+        quality.count_report(
+            spark,
+            {
+                "reviews": (found["reviews"], lines["reviews"]),
+                "metadata": (found["metadata"], lines["metadata"] - read["metadata"].get["_skipped"]),
+            },
+            "staged_rows",
+        )
+        .unionByName(
+            quality.count_report(
+                spark,
+                {"reviews": (found["linked"], expected["written"]), "reviews.all": (accounted, found["reviews"])},
+                "row_count",
+            )
+        )
+        .unionByName(quality.gate_report(spark, {"reviews": (found["linked"], min_reviews), "metadata": (found["metadata"], min_metadata)}))
         .unionByName(quality.constraint_audit(reviews, products))
     )
     return quality.require(report)
 
 
+def _no_product() -> Column:
+    """Product lines that staging skips: no key, or an empty one."""
+    return F.coalesce(F.get_json_object("value", "$.parent_asin"), F.lit("")) == ""
+
+
+def _row(spark: SparkSession, observed: Observation) -> DataFrame:
+    """The metrics of an observation as a frame of one row."""
+    return spark.createDataFrame([tuple(observed.get.values())], list(observed.get))
+
+
 def answer_questions(reviews: DataFrame, metadata: DataFrame, out: str) -> dict[str, DataFrame]:
     """Answer the five questions, store each as Parquet and CSV, and return the stored answers.
 
@@ -114,16 +159,15 @@ def prepare_dataset(
     sample_fraction: float = 1.0,
     train_ratio: float = 0.7,
     seed: int = 42,
-    folds: int = models.FOLDS,
 ) -> DataFrame:
-    """Store vectors with their split and fold, and the slot names under ``out``; return the dataset."""
+    """Store vectors with their split and place among folds, and the slot names under ``out``; return the dataset."""
     spark = prepare(table.sparkSession)
     writers.write_parquet(features.bucket_rows(table, store_top_k), f"{out}/rows")
     data, manifest = features.encode_rows(spark.read.parquet(f"{out}/rows"))
     writers.write_parquet(manifest, f"{out}/manifest")
     split = features.with_split(staging.sample(data, sample_fraction, seed), train_ratio, seed)
-    split = with_folds(split, folds)
-    writers.write_split(split.select("features", "features_nb", "label", "fold", "split"), f"{out}/dataset")
+    split = with_fold_place(split).select("features", "features_nb", "label", "fold_place", "split")
+    writers.write_split(split, f"{out}/dataset")
     return spark.read.parquet(f"{out}/dataset")
 
 
@@ -139,10 +183,10 @@ def train_models(
 ) -> DataFrame:
     """Tune both classifiers on the stored training rows and store everything about them.
 
-    ``folds`` is the number that the dataset was prepared with. Returns the stored evaluation: one row per model on the test rows.
+    Returns the stored evaluation: one row per model on the test rows.
     """
     prepare(spark)
-    train = writers.read_split(spark, f"{path}/dataset", "train")
+    train = with_folds(writers.read_split(spark, f"{path}/dataset", "train"), folds)
     test = writers.read_split(spark, f"{path}/dataset", "test")
     manifest = spark.read.parquet(f"{path}/manifest")
     labels = models.class_labels(train)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.operators.staging import parent_totals
 from starlens.sources import schemas
 
+# The smallest accepted full load.
+FULL_REVIEWS, FULL_METADATA = 2_000_000, 10_000
+
 
 def _report(measured: DataFrame, rows: Sequence[tuple[str, str, Column, Column]]) -> DataFrame:
     """Turn a one-row frame of counts into report rows."""
@@ -30,18 +33,43 @@ def _counts(flags: dict[str, Column]) -> list[Column]:
     return [F.count_if(flag).alias(name) for name, flag in flags.items()]
 
 
-def missing_keys(lines: DataFrame, keys: Sequence[str], subject: str) -> DataFrame:
-    """Lines lacking each required key, over all lines, and lines that are not objects."""
-    present = F.col("present")
+def key_counts(keys: Sequence[str]) -> list[Column]:
+    """Aggregates over lines in column ``value``: all, unreadable ones, those without each key."""
+    present = F.json_object_keys("value")
     flags = {key: present.isNotNull() & ~F.array_contains(present, key) for key in keys}
-    counted = lines.select(F.json_object_keys("value").alias("present")).agg(
-        F.count_if(present.isNull()).alias("_unreadable"), *_counts(flags)
-    )
+    return [F.count(F.lit(1)).alias("_lines"), F.count_if(present.isNull()).alias("_unreadable"), *_counts(flags)]
+
+
+def missing_keys(
+    lines: DataFrame, keys: Sequence[str], subject: str, allowed: float = 0.0
+) -> DataFrame:
+    """Lines lacking each required key, over all lines, and lines that are not objects.
+
+    A key may be absent from a share ``allowed`` of the lines.
+    """
+    return key_report(lines.agg(*key_counts(keys)), keys, subject, allowed)
+
+
+def key_report(counted: DataFrame, keys: Sequence[str], subject: str, allowed: float = 0.0) -> DataFrame:
+    """The audit rows of one row of ``key_counts``."""
     rows = [("unreadable", subject, F.col("_unreadable"), F.col("_unreadable") == 0)]
-    rows += [("missing_key", f"{subject}.{key}", F.col(key), F.col(key) == 0) for key in keys]
+    few = F.col("_lines") * allowed
+    rows += [("missing_key", f"{subject}.{key}", F.col(key), F.col(key) <= few) for key in keys]
     return _report(counted, rows)
 
 
+def count_report(spark: SparkSession, counts: dict[str, tuple[int, int]], check: str) -> DataFrame:
+    """(found, expected) counts by subject, such as those taken while tables were written."""
+    rows = [(check, subject, found, found == expected) for subject, (found, expected) in counts.items()]
+    return spark.createDataFrame(rows, "check STRING, subject STRING, value BIGINT, ok BOOLEAN")
+
+
+def gate_report(spark: SparkSession, counts: dict[str, tuple[int, int]]) -> DataFrame:
+    """(found, least) counts by subject, taken before; ok when there are enough."""
+    rows = [("min_rows", subject, found, found >= least) for subject, (found, least) in counts.items()]
+    return spark.createDataFrame(rows, "check STRING, subject STRING, value BIGINT, ok BOOLEAN")
+
+
 def min_rows(df: DataFrame, n: int, subject: str) -> DataFrame:
     counted = df.agg(F.count(F.lit(1)).alias("n"))
     return _report(counted, [("min_rows", subject, F.col("n"), F.col("n") >= n)])

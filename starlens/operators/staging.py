@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +71,17 @@ def keep_known_parents(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
+def _same_key(keys: Sequence[str]) -> Column:
+    """Equal keys, where NULL equals NULL, against those of ``repeated_keys``."""
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str] = REVIEW_KEY) -> DataFrame:
+    """Keys of more than one row; only the keys are read and shuffled, one row for each task."""
+    counted = df.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    return counted.agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+
+
 def dedupe(
     df: DataFrame,
     keys: Sequence[str] = REVIEW_KEY,
@@ -77,19 +89,28 @@ def dedupe(
 ) -> DataFrame:
     """One row per key: the first by ``order_cols``, then by the remaining columns.
 
-    The first row is a minimum, not a window rank: copies collapse to one row
-    per map task before the shuffle, so a key that holds a large part of all
-    rows never meets in one task.
+    Keys are counted first. Rows of a key that occurs once pass as they are: no shuffle
+    of whole rows while the repeated keys fit a broadcast, which Spark decides by their
+    measured size. Only rows of repeated keys are compared. The first of them is a minimum,
+    not a window rank: copies collapse to one row per map task before the shuffle, so a
+    key that holds a large part of all rows never meets in one task.
+
+    ``df`` is computed twice more; store it first when it is costly.
     """
+    repeated = repeated_keys(df, keys)
+    named = [c for c in order_cols if isinstance(c, str)]
     order = [
-        (F.col(c) if isinstance(c, str) else c).alias(f"_order_{i}")
-        for i, c in enumerate(order_cols)
+        F.col(c) if isinstance(c, str) else c.alias(f"_order_{i}") for i, c in enumerate(order_cols)
     ]
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(F.struct(*order, *[F.col(c) for c in df.columns])).alias("first"))
-        .select(*[F.col(f"first.{c}").alias(c) for c in df.columns])
+    rest = [F.col(c) for c in df.columns if c not in named and c not in keys]
+    single = df.join(repeated, _same_key(keys), "left_anti")
+    first = (
+        df.join(repeated, _same_key(keys), "left_semi")
+        .groupBy(*keys)
+        .agg(F.min(F.struct(*order, *rest, F.lit(0).alias("_last"))).alias("_first"))
+        .select(*[F.col(c if c in keys else f"_first.{c}").alias(c) for c in df.columns])
     )
+    return single.unionByName(first)
 
 
 def stage_linked_reviews(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 # JSON review line. Numbers that may also arrive as text are read as text, and
 # so are nested values: Spark then keeps them as compact JSON, with their key
-# order and inner nulls, while it parses the line once.
+# order and inner nulls, while it parses the line once. The flag is read as a
+# variant, which tells text from numbers and booleans.
 RAW_REVIEW = """
     rating STRING, title STRING, text STRING, asin STRING, parent_asin STRING,
-    user_id STRING, timestamp STRING, helpful_vote STRING, verified_purchase STRING,
+    user_id STRING, timestamp STRING, helpful_vote STRING, verified_purchase VARIANT,
     images STRING
 """
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from checks import adapter
 from checks.registered import QUERIES
 from starlens import jobs
@@ -17,8 +19,17 @@ def test_stages(spark, small, tmp_path):
     products = adapter.metadata_lines(spark, small)
     products.filter("value NOT LIKE '%\"parent_asin\":null%'").write.text(f"{out}/raw/metadata")
 
-    report = jobs.ingest(spark, f"{out}/raw/reviews", f"{out}/raw/metadata", f"{out}/staged")
+    raw = (f"{out}/raw/reviews", f"{out}/raw/metadata")
+    report = jobs.ingest(spark, *raw, f"{out}/staged", min_reviews=1, min_metadata=1)
     assert report.filter("NOT ok").count() == 0
+    found = {(r["check"], r["subject"]): r["value"] for r in report.collect()}
+    assert found["staged_rows", "reviews"] == spark.read.text(raw[0]).count() == found["row_count", "reviews.all"]
+    assert found["staged_rows", "metadata"] < spark.read.text(raw[1]).count()  # empty keys are skipped
+    with pytest.raises(ValueError, match="min_rows reviews"):
+        jobs.ingest(spark, *raw, f"{out}/small")
+    limited = jobs.ingest(spark, *raw, f"{out}/limited", limit=120)
+    found = {(r["check"], r["subject"]): r["value"] for r in limited.collect()}
+    assert found["staged_rows", "reviews"] == 120 == found["row_count", "reviews.all"]
     counts = spark.read.parquet(f"{out}/staged/load_counts").first()
     assert counts["deduped"] > 0 and counts["skipped_missing_meta"] > 0
 
@@ -44,6 +55,25 @@ def test_stages(spark, small, tmp_path):
     assert theta.count() % slots == 0
 
 
+def test_absent_keys_up_to_a_share(spark, tmp_path):
+    review = '{"rating":5,%s"text":"t","asin":"a","parent_asin":"p","user_id":"u%d","timestamp":%d}'
+    lines = [review % ('"title":"t",' if i else "", i, i) for i in range(10)]
+    spark.createDataFrame([(x,) for x in lines], "value STRING").write.text(f"{tmp_path}/r")
+    spark.createDataFrame([('{"parent_asin":"p","title":"t"}',)], "value STRING").write.text(f"{tmp_path}/m")
+    raw, least = (f"{tmp_path}/r", f"{tmp_path}/m"), {"min_reviews": 1, "min_metadata": 1}
+    with pytest.raises(ValueError, match="missing_key reviews.title=1"):
+        jobs.ingest(spark, *raw, f"{tmp_path}/a", **least)
+    jobs.ingest(spark, *raw, f"{tmp_path}/b", **least, allowed_missing=0.1)
+    assert spark.read.parquet(f"{tmp_path}/b/reviews").count() == 10
+
+
+def test_first_rows_are_exact_and_stay(spark):
+    df = spark.range(0, 1000, 1, 7)
+    kept = readers.first_rows(df, 333)
+    assert sorted(r["id"] for r in kept.collect()) == list(range(333)) == sorted(r["id"] for r in kept.collect())
+    assert readers.first_rows(df, 0).count() == 0 and readers.first_rows(df, 5000).count() == 1000
+
+
 def test_stored_rollup_gives_the_same_answers(spark, small, tmp_path):
     columns = ("parent_asin", "rating", "helpful_vote", "verified_purchase")
     reviews, metadata = adapter.reviews(spark, small, *columns), adapter.metadata(spark, small)

@@ -38,7 +38,10 @@ def test_absent_and_null_key_parts_differ(spark):
 
 
 @pytest.mark.parametrize(
-    "value, expected", [(True, True), (False, False), (None, False), (1, True), (0, False), ("yes", True)]
+    "value, expected", [
+        (True, True), (False, False), (None, False), (1, True), (0, False), ("yes", True), ("false", True),
+        ("0", True), ("", False), (0.0, False), ([], False), ({}, False), ([0], True), ({"a": 0}, True),
+    ],
 )
 def test_verified_truth(spark, value, expected):
     row = staging.stage_reviews(lines(spark, {**REVIEW, "verified_purchase": value})).first()
