@@ -635,6 +635,9 @@ META_COLUMNS = """parent_asin, main_category, title, average_rating, rating_numb
     features_text, description_text, categories_json, details_json"""
 COMMERCE = "parent_asin, rating, helpful_vote, verified_purchase"
 
+WHOLE_SPLIT = """COUNT(*) AS source_rows, CAST(0 AS BIGINT) AS strange_rows, TRUE AS fair_share,
+    CAST(0 AS BIGINT) AS lost_rows"""
+
 STATEMENTS: dict[str, str] = {
     "q1_category_purchase": base(Q1),
     "q2_monthly_trend": base(Q2),
@@ -645,6 +648,17 @@ STATEMENTS: dict[str, str] = {
         "SELECT 'metadata' AS table_name, COUNT(*) AS row_count FROM metadata"
         " UNION ALL SELECT 'reviews', COUNT(*) FROM reviews"
     ),
+    "q_preview": base(
+        """(SELECT 'metadata' AS table_name, parent_asin, NULL AS review_id FROM metadata
+            ORDER BY parent_asin LIMIT 5)
+           UNION ALL (SELECT 'reviews', parent_asin, review_id FROM reviews
+                      ORDER BY parent_asin, review_id LIMIT 5)"""
+    ),
+    "ft_sample": base(
+        """SELECT COUNT(*) AS source_rows, CAST(0 AS BIGINT) AS strange_rows, TRUE AS fair_share FROM reviews"""
+    ),
+    "lg_rand_split": base(f"SELECT {WHOLE_SPLIT} FROM reviews"),
+    "ft_random_split": base(f"SELECT {WHOLE_SPLIT} FROM features", False, FEATURES),
     "q_left_join_fact_dim": base(
         "SELECT r.parent_asin, r.rating, r.helpful_vote, r.review_timestamp, m.main_category,"
         f" m.store, m.price {JOINED}"
@@ -703,6 +717,7 @@ STATEMENTS: dict[str, str] = {
     "snk_single_csv": base(Q2),
     "src_qualified_csv": base(Q1),
     "src_table_fallback": base(f"SELECT {META_COLUMNS} FROM metadata"),
+    "src_table_catalog": base(f"SELECT {META_COLUMNS} FROM metadata"),
     # Staging.
     "stg_review_id": base("SELECT review_id, user_id, parent_asin, asin FROM lines", False, LINES),
     "stg_review_map": base(staged("lines"), False, LINES),
@@ -885,6 +900,9 @@ STATEMENTS: dict[str, str] = {
         "SELECT review_year, COUNT(label) AS labelled FROM features GROUP BY 1", False, FEATURES
     ),
     "ft_top_k_store": encoded("SELECT review_id, store_clean, store_bucketed FROM bucketed"),
+    "ft_top_k_store_200": encoded(
+        "SELECT review_id, store_clean, store_bucketed FROM bucketed"
+    ).replace("LIMIT 10)", "LIMIT 200)"),
     "ft_label_index": base(
         """SELECT f.review_id, f.main_category, CAST(i.label AS DOUBLE) AS label
            FROM features f JOIN ids i ON f.main_category = i.main_category""",

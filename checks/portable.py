@@ -21,6 +21,7 @@ SHOWN_AS: dict[str, dict[str, str]] = {
     "snk_parquet_overwrite": REVIEW,
     "src_ext_parquet": REVIEW,
     "src_table_fallback": PRICE,
+    "src_table_catalog": PRICE,
     "stg_review_map": {"helpful_vote": "DOUBLE"},
     "stg_semi_join": REVIEW,
     "stg_dedupe": REVIEW,

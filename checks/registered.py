@@ -86,6 +86,15 @@ def q_table_counts(spark, sf_dir):
     return analytics.table_counts(*analytic(spark, sf_dir))
 
 
+@register
+def q_preview(spark, sf_dir):
+    reviews, products = adapter.landing_reviews(spark, sf_dir), adapter.metadata(spark, sf_dir)
+    shown = (analytics.preview(products, ["parent_asin"]), analytics.preview(reviews, staging.REVIEW_KEY))
+    return shown[0].select(F.lit("metadata").alias("table_name"), "parent_asin", F.lit(None).cast("string").alias("review_id")).unionByName(
+        shown[1].select(F.lit("reviews").alias("table_name"), "parent_asin", "review_id")
+    )
+
+
 @register
 def q_left_join_fact_dim(spark, sf_dir):
     reviews, products = analytic(spark, sf_dir)
@@ -189,6 +198,16 @@ def src_table_fallback(spark, sf_dir):
     return readers.read_table_or_path(spark, "no_such_table", path)
 
 
+@register
+def src_table_catalog(spark, sf_dir):
+    """The table wins over the path, which holds other rows."""
+    path, table = scratch_path(spark, "fallback"), CHECK_TABLE + "catalog"
+    products = adapter.metadata(spark, sf_dir)
+    writers.write_parquet(products.limit(1), path)
+    writers.write_table(products, table, scratch_path(spark, "catalog"))
+    return readers.read_table_or_path(spark, table, path)
+
+
 @register
 def snk_json_split(spark, sf_dir):
     path = scratch_path(spark, "split")
@@ -358,9 +377,36 @@ def ft_validity_filter(spark, sf_dir):
     return digest(warehouse.valid_reviews(adapter.reviews(spark, sf_dir, *STAGED)))
 
 
+def part_facts(source: DataFrame, parts: list[DataFrame], share: float) -> DataFrame:
+    """What must hold of any random part or split: no strange rows, a fair share, no row lost.
+
+    Rows are told apart by a digest of all their columns. ``share`` is that of the first
+    part; it may be off by five standard deviations.
+    """
+    def tagged(df: DataFrame, *ones: int) -> DataFrame:
+        counted = [F.lit(one).alias(name) for one, name in zip(ones, ("rows", "first", "others"), strict=True)]
+        return df.select(F.xxhash64(*source.columns).alias("row"), *counted)
+
+    every = tagged(source, 1, 0, 0).unionByName(tagged(parts[0], 0, 1, 0))
+    for part in parts[1:]:
+        every = every.unionByName(tagged(part, 0, 0, 1))
+    sums = [F.sum(c).alias(c) for c in ("rows", "first", "others")]
+    rows, first, others = F.col("rows"), F.col("first"), F.col("others")
+    spread = 5 * F.sqrt(F.sum(rows) * share * (1 - share))
+    facts = [
+        F.sum(rows).alias("source_rows"),
+        F.count_if(first + others > rows).alias("strange_rows"),
+        (F.abs(F.sum(first) - F.sum(rows) * share) <= spread).alias("fair_share"),
+    ]
+    if len(parts) > 1:
+        facts.append(F.count_if(first + others < rows).alias("lost_rows"))
+    return every.groupBy("row").agg(*sums).agg(*facts)
+
+
 @register
 def ft_sample(spark, sf_dir):
-    return staging.sample(adapter.reviews(spark, sf_dir, *ANALYTIC), 0.1)
+    rows = adapter.reviews(spark, sf_dir, *STAGED)
+    return part_facts(rows, [staging.sample(rows, 0.1)], 0.1)
 
 
 # --- warehouse and audits -----------------------------------------------------------
@@ -492,8 +538,10 @@ def lg_split_summary(spark, sf_dir):
 
 @register
 def lg_rand_split(spark, sf_dir):
-    rows = profiling.rand_split(adapter.landing_reviews(spark, sf_dir, "parent_asin"))
-    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    reviews = adapter.landing_reviews(spark, sf_dir, *STAGED)
+    rows = profiling.rand_split(reviews)
+    parts = [rows.filter("split = 'train'"), rows.filter("split = 'test'")]
+    return part_facts(reviews, parts, profiling.TRAIN_RATIO)
 
 
 # --- features -----------------------------------------------------------------------
@@ -563,6 +611,12 @@ def ft_top_k_store(spark, sf_dir):
     return bucketed(spark, sf_dir).select("review_id", "store_clean", "store_bucketed")
 
 
+@register
+def ft_top_k_store_200(spark, sf_dir):
+    rows = features.bucket_rows(stored_features(spark, sf_dir))
+    return rows.select("review_id", "store_clean", "store_bucketed")
+
+
 @register
 def ft_label_index(spark, sf_dir):
     indexed = features.index_label(stored_features(spark, sf_dir), "main_category")
@@ -589,8 +643,8 @@ def ft_assemble(spark, sf_dir):
 
 @register
 def ft_random_split(spark, sf_dir):
-    train, test = features.random_split(stored_features(spark, sf_dir).select("label"))
-    return train.agg(F.count("label").alias("n")).unionByName(test.agg(F.count("label").alias("n")))
+    rows = stored_features(spark, sf_dir)
+    return part_facts(rows, features.random_split(rows), 0.7)
 
 
 @register

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.functions.pricing import clean_price
-from starlens.operators import evaluation, features, models, quality, staging
+from starlens.operators import evaluation, features, models, profiling, quality, staging
 from starlens.operators.folds import with_fold_place, with_folds
 from starlens.plans import analytics, warehouse
 from starlens.session import prepare
@@ -112,7 +112,7 @@ def _row(spark: SparkSession, observed: Observation) -> DataFrame:
 def answer_questions(reviews: DataFrame, metadata: DataFrame, out: str) -> dict[str, DataFrame]:
     """Answer the five questions, store each as Parquet and CSV, and return the stored answers.
 
-    The reviews are read twice: for the monthly trend and for the rollup that
+    The reshaped views of the answers (``VIEWS``) are stored with them. The reviews are read twice: for the monthly trend and for the rollup that
     serves the other four.
     """
     spark = prepare(reviews.sparkSession)
@@ -130,9 +130,48 @@ def answer_questions(reviews: DataFrame, metadata: DataFrame, out: str) -> dict[
         writers.write_parquet(answer, f"{out}/{name}")
         stored[name] = spark.read.parquet(f"{out}/{name}")
         writers.write_single_csv(stored[name].orderBy(*_order(name)), f"{out}/{name}.csv")
+    for name, (source, view) in VIEWS.items():
+        writers.write_parquet(view(stored[source]), f"{out}/{name}")
+        stored[name] = spark.read.parquet(f"{out}/{name}")
     return stored
 
 
+# Reshaped answers: the name of each, the answer it shows, and how.
+VIEWS = {
+    "category_heatmap": ("q1", analytics.category_heatmap),
+    "month_series": ("q2", analytics.month_series),
+    "top_stores": ("q3", analytics.top_stores),
+    "price_order": ("q4", analytics.price_order),
+    "top_categories": ("q5", analytics.top_categories),
+}
+
+
+def clean_text_rows(rows: DataFrame, out: str) -> DataFrame:
+    """Profile rows of text cells, clean and split them, and score the majority baseline.
+
+    Everything is stored under ``out``: profiles before and after, the report made from
+    them, the cleaned records by split, class balance and the baseline. Returns the report.
+    """
+    spark = prepare(rows.sparkSession)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        writers.write_parquet(df, f"{out}/{name}")
+        return spark.read.parquet(f"{out}/{name}")
+
+    before = stored(profiling.profile_before(rows), "profile_before")
+    after = stored(profiling.profile_after(rows), "profile_after")
+    writers.write_split(profiling.hash_split(profiling.clean_records(rows)), f"{out}/cleaned")
+    cleaned = spark.read.parquet(f"{out}/cleaned")
+    stored(profiling.class_balance(cleaned), "class_balance")
+    train, test = (cleaned.filter(F.col("split") == part).select("label") for part in ("train", "test"))
+    predictions = stored(evaluation.predict_majority(train, test), "baseline_predictions")
+    stored(evaluation.baseline_metrics(predictions), "baseline_metrics")
+    writers.write_single_csv(evaluation.confusion_pairs(evaluation.confusion(predictions)), f"{out}/baseline_confusion.csv")
+    report = stored(profiling.quality_report(before, after), "quality_report")
+    writers.write_single_csv(report.orderBy("position"), f"{out}/quality_report.csv")
+    return report
+
+
 def _order(name: str) -> list:
     by = {
         "q1": ["main_category", "purchase_type"],

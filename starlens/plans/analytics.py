@@ -11,6 +11,8 @@ serves all of them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -225,8 +227,9 @@ def table_counts(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
     return counted("metadata", metadata).unionByName(counted("reviews", reviews))
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first rows by key: the same ones each time."""
+    return df.orderBy(*order).limit(n)
 
 
 def category_heatmap(by_category: DataFrame, top: int = 12) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import adapter
 from checks.registered import QUERIES
@@ -55,6 +56,18 @@ def test_stages(spark, small, tmp_path):
     assert theta.count() % slots == 0
 
 
+def test_text_rows_to_cleaned_records_and_baseline(spark, small, tmp_path):
+    rows = adapter.text_rows(spark, small)
+    report = {r["item"]: r["value"] for r in jobs.clean_text_rows(rows, str(tmp_path)).collect()}
+    cleaned = spark.read.parquet(f"{tmp_path}/cleaned")
+    sizes = {r["split"]: r["n"] for r in cleaned.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {part: str(n) for part, n in sizes.items()} == {"train": report["train_rows"], "test": report["test_rows"]}
+    assert int(report["kept_rows"]) + int(report["dropped_rows"]) == rows.count()
+    expected = {(r["label"], r["metric"]): r["value"] for r in QUERIES["ml_baseline_metrics"](spark, small).collect()}
+    found = spark.read.parquet(f"{tmp_path}/baseline_metrics").collect()
+    assert {(r["label"], r["metric"]): r["value"] for r in found} == expected
+
+
 def test_absent_keys_up_to_a_share(spark, tmp_path):
     review = '{"rating":5,%s"text":"t","asin":"a","parent_asin":"p","user_id":"u%d","timestamp":%d}'
     lines = [review % ('"title":"t",' if i else "", i, i) for i in range(10)]
@@ -82,3 +95,7 @@ def test_stored_rollup_gives_the_same_answers(spark, small, tmp_path):
                         ("q4", "q4_price_band"), ("q5", "q5_negative_helpfulness")):
         expected = QUERIES[query](spark, small).collect()
         assert sorted(map(str, answers[name].collect())) == sorted(map(str, expected))
+    for name, query in (("category_heatmap", "nb_category_heatmap"), ("top_stores", "nb_top15_stores"),
+                        ("price_order", "nb_price_order"), ("top_categories", "nb_top20_categories")):
+        assert sorted(map(str, answers[name].collect())) == sorted(map(str, QUERIES[query](spark, small).collect()))
+    assert answers["month_series"].count() == answers["q2"].count()
