@@ -1,11 +1,14 @@
 """Benchmark decontamination: typed templates, hashed windows, and slot consistency.
 
-A text's words (runs without white space, stripped of everything but letters and
-digits, and cut between a digit and a letter after it, but for ordinals) become a
+A text's words (runs of letters, marks and digits; an apostrophe within a word and a point or
+comma within a number don't end it, letters of scripts without spaces are words of their
+own, and words are cut between a digit and a letter after it, but for ordinals) become a
 template: digits and ordinals are numbers, a unit after a number is a unit, and words of
 two characters or more with a capital are names; each type has a placeholder, other words
 are lowered. Windows of ``WINDOW`` template words are hashed and joined with those of the
-benchmark items that have at least ``LEAST_LITERAL`` literal words.
+benchmark items that have at least ``LEAST_LITERAL`` literal words. An item of fewer words
+than that, but ``LEAST_WORDS``, is one window of its own length. Windows of fewer literal
+words are taken from items that have no others, and count only with the item's own slots.
 
 Words in capitals or with inner ones may be names (NASA, McDonald) or just be written so.
 So windows are also taken with plain names only (one capital, then small letters), of
@@ -23,8 +26,9 @@ of the item's windows.
 Only DataFrame operations are used. The items' windows are broadcast if there are at most
 ``BROADCAST_WINDOWS``, else they are joined by a shuffle.
 
-Defined results: null and empty texts match nothing, and items with fewer than ``WINDOW``
-words have no windows. Rows without an id are not searched. Rows with the same id count
+Defined results: null and empty texts match nothing, and items with fewer than ``LEAST_WORDS``
+words are not searched: almost every text holds them. Composed and decomposed accents are
+different letters. Rows without an id are not searched. Rows with the same id count
 as one document. Items with equal text are reported each. Repeated rows of the benchmark
 change nothing. Other columns are not looked at.
 """
@@ -38,6 +42,7 @@ from starlens.session import scratch_path
 
 WINDOW = 6
 LEAST_LITERAL = 3
+LEAST_WORDS = 3
 COVERAGE = 0.5
 BROADCAST_WINDOWS = 500_000
 BROADCAST_IDS = 500_000
@@ -47,8 +52,9 @@ UNITS = (
 )
 
 # Each word stands between two spaces of its own, so neighbours can match one after the other.
-DROPPED = r"[^\p{L}\p{N} \t\n\x0B\f\r]+"
-SPACES = r"[ \t\n\x0B\f\r]+"
+JOINED = r"(?<=\p{L})['’](?=\p{L})|(?<=\p{N})[.,](?=\p{N})|\p{Cf}"
+APART = r"[^\p{L}\p{M}\p{N}]+"
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 NAME = r" (?=\S{2})\p{L}*\p{Lu}[\p{L}\p{N}]* "
 PLAIN_NAME = r" \p{Lu}\p{Ll}+ "
 ORDINAL = "(?i:st|nd|rd|th)"
@@ -59,8 +65,9 @@ UNIT = f" ¤d  (?i:{'|'.join(UNITS)}) "
 
 def spaced(text: Column) -> Column:
     """The text's words without punctuation, with two spaces between them."""
-    bare = F.regexp_replace(text, DROPPED, "")
-    apart = F.concat(F.lit("  "), F.regexp_replace(bare, SPACES, "  "), F.lit("  "))
+    cut = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+    bare = F.regexp_replace(cut, JOINED, "")
+    apart = F.concat(F.lit("  "), F.regexp_replace(bare, APART, "  "), F.lit("  "))
     return F.regexp_replace(apart, ATTACHED, "$1  $2")
 
 
@@ -74,10 +81,10 @@ def template(words: Column, names: str | None = NAME) -> Column:
     return F.lower(F.regexp_replace(numbered, names, " ¤n ") if names else numbered)
 
 
-def window_hashes(words: Column) -> Column:
+def window_hashes(words: Column, window: Column | int = WINDOW) -> Column:
     """A hash of each window of an array of words; none if there are too few."""
-    last = F.size(words) - WINDOW + 1
-    hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
+    last = F.size(words) - window + 1
+    hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, window)))
     return F.when(last >= 1, hashes)
 
 
@@ -94,22 +101,31 @@ def other_windows(words: Column, other: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, item_pos, hash, words and shape of each window of each item, once."""
+    """item_id, item_pos, hash, words, shape and whether it is exact of each item's windows, once."""
+    text = F.col("text")
+    # The capital of the first word may be that of a sentence only.
+    inner = F.concat(F.lower(F.substring(text, 1, 1)), F.substring(text, 2, 1 << 30))
+    shapes = [(text, NAME), (text, PLAIN_NAME), (text, None), (inner, NAME)]
     items = benchmark.where("item_id is not null and text is not null").select(
-        "item_id", split_words(F.lower(spaced(F.col("text")))).alias("raw"),
-        F.array(*(split_words(template(spaced(F.col("text")), names)) for names in (NAME, PLAIN_NAME, None))).alias("shapes"),
+        "item_id", split_words(F.lower(spaced(text))).alias("raw"),
+        F.array(*(split_words(template(spaced(t), names)) for t, names in shapes)).alias("shapes"),
     )
-    each = items.select("item_id", "raw", F.explode("shapes").alias("shape"))
-    placed = each.select("item_id", "raw", "shape", F.posexplode(window_hashes(F.col("shape"))).alias("at", "hash"))
+    each = items.select("item_id", "raw", F.explode("shapes").alias("shape")).where(F.size("raw") >= LEAST_WORDS)
+    window = F.least(F.size("shape"), F.lit(WINDOW))
+    hashes = window_hashes(F.col("shape"), window)
+    placed = each.select("item_id", "raw", "shape", window.alias("window"), F.posexplode(hashes).alias("at", "hash"))
     cut = placed.select(
         "item_id",
         F.col("at").alias("item_pos"),
         "hash",
-        F.slice("raw", F.col("at") + 1, WINDOW).alias("item_words"),
-        F.slice("shape", F.col("at") + 1, WINDOW).alias("shape"),
+        F.slice("raw", F.col("at") + 1, F.col("window")).alias("item_words"),
+        F.slice("shape", F.col("at") + 1, F.col("window")).alias("shape"),
     )
     literal = F.size(F.filter("shape", lambda w: ~w.startswith("¤")))
-    return cut.where(literal >= LEAST_LITERAL).distinct()
+    cut = cut.withColumn("exact", literal < LEAST_LITERAL)
+    # Windows that say little stand in for an item that has no others, or no more than one.
+    told = cut.where(~F.col("exact") & (F.size("shape") == WINDOW)).select("item_id").distinct().withColumn("told", F.lit(True))
+    return cut.join(told, "item_id", "left").where("not exact or told is null").drop("told").distinct()
 
 
 def matched_windows(documents: DataFrame, windows: DataFrame) -> DataFrame:
@@ -124,7 +140,16 @@ def matched_windows(documents: DataFrame, windows: DataFrame) -> DataFrame:
         window_hashes(F.col("shape")), lambda h, i: F.struct(i.alias("doc_pos"), h.alias("hash"))
     )
     others = F.coalesce(other_windows(F.col("shape"), F.col("plain")), F.array().cast("array<struct<doc_pos:int,hash:bigint>>"))
-    placed = shapes.select("doc_id", F.inline(F.concat(hashed, others)))
+    none = F.array().cast("array<struct<doc_pos:int,hash:bigint>>")
+    # Short items are looked for by their own lengths, of which there are few.
+    sizes = sorted(r["n"] for r in windows.select(F.size("shape").alias("n")).distinct().collect())
+    every = [F.coalesce(hashed, none), others]
+    for size in [n for n in sizes if n < WINDOW]:
+        for own in (F.col("shape"), F.col("plain")):
+            short = F.transform(window_hashes(own, size), lambda h, i: F.struct(i.alias("doc_pos"), h.alias("hash")))
+            every.append(F.coalesce(short, none))
+    held = F.concat(*every) if len(every) == 2 else F.array_distinct(F.concat(*every))
+    placed = shapes.select("doc_id", F.inline(held))
     keys = windows.select("hash", "item_id", "item_pos")
     if windows.count() <= BROADCAST_WINDOWS:
         keys = F.broadcast(keys)
@@ -148,13 +173,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = documents.where("text is not null").join(ids, "doc_id", "left_semi")
     raw = texts.select("doc_id", split_words(F.lower(spaced(F.col("text")))).alias("raw"))
     slotted = matches.join(windows.where(has_slot), ["item_id", "item_pos", "hash"]).join(raw, "doc_id")
-    words = F.arrays_zip("shape", F.col("item_words").alias("asked"), F.slice("raw", F.col("doc_pos") + 1, WINDOW).alias("given"))
+    words = F.arrays_zip("shape", F.col("item_words").alias("asked"), F.slice("raw", F.col("doc_pos") + 1, F.size("shape")).alias("given"))
     slots = F.transform(
         F.filter(words, lambda w: w["shape"].startswith("¤")),
         lambda w: F.struct(w["asked"].alias("asked"), w["given"].alias("given")),
     )
     slotted = slotted.select(
-        "doc_id", "item_id", "item_pos", (F.col("doc_pos") - F.col("item_pos")).alias("distance"), slots.alias("slots")
+        "doc_id", "item_id", "item_pos", (F.col("doc_pos") - F.col("item_pos")).alias("distance"), "exact", slots.alias("slots")
     )
     pairs = slotted.select("doc_id", "item_id", "distance", F.explode("slots").alias("slot"))
     values = pairs.groupBy("doc_id", "item_id", "distance", F.col("slot.asked").alias("asked")).agg(
@@ -165,7 +190,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     mixed = F.coalesce(F.arrays_overlap(F.col("slots.asked"), "torn"), F.lit(False))
     # A window that doesn't count has no position, but tells that slots were changed.
     judged = slotted.join(torn, ["doc_id", "item_id", "distance"], "left").select(
-        "doc_id", "item_id", F.when(~(changed & mixed), F.col("item_pos")).alias("item_pos"), changed.cast("int").alias("changed")
+        "doc_id", "item_id", F.when(~(changed & (mixed | F.col("exact"))), F.col("item_pos")).alias("item_pos"), changed.cast("int").alias("changed")
     )
     plain = matches.join(windows.where(~has_slot), ["item_id", "item_pos", "hash"])
     counted = judged.unionByName(plain.select("doc_id", "item_id", "item_pos", F.lit(0).alias("changed")))

@@ -42,8 +42,8 @@ from starlens.session import scratch_path
 
 TOP = 10
 #: Bytes of text of a shard, and postings whose tables are held at a time.
-SHARD_BYTES = 32_000_000
-TABLE_POSTINGS = 1_000_000
+SHARD_BYTES = 16_000_000
+TABLE_POSTINGS = 300_000
 #: Query terms of a block, with repeats.
 BLOCK_TERMS = 200_000
 #: Intervals split at a time, and documents of an interval that is scored whole.

@@ -300,10 +300,14 @@ def false_discovery_rule(found: DataFrame, logs: np.ndarray, level: float = FALS
 
 def merge(base: list[tuple[str, int, int]], more: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
     """Base spans and those added ones that don't lie within another one of either."""
-    outer = [(b, f) for _, b, f in base]
-    within = lambda s, e: any(b <= s and e <= f for b, f in outer) or any(b <= s and e <= f and (b, f) != (s, e) for b, f in more)
-    added = [("random", s, e) for s, e in more if not within(s, e)]
-    return in_order(base + added)
+    # By start, the longest first: what holds a span comes before it. Base spans come before equal ones.
+    ordered = sorted([(b, -f, 0) for _, b, f in base] + [(b, -f, 1) for b, f in set(more)])
+    furthest, within = -1, set()
+    for start, end, kind in ordered:
+        if kind and -end <= furthest:
+            within.add((start, -end))
+        furthest = max(furthest, -end)
+    return in_order(base + [("random", *span) for span in more if span not in within])
 
 
 def scan_secrets(documents: DataFrame) -> DataFrame:

@@ -62,20 +62,23 @@ def stable_boundary(text: str, left: Encoded, left_at: int, right: Encoded, righ
 def count_in_chunks(
     text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS
 ) -> tuple[int, int]:
-    """Tokens of the text, and how many times an overlap had to be widened."""
+    """Tokens of the text, and how many times an overlap, or with it the chunk, had to be widened."""
     total = widened = 0
     proven = at = 0  # tokens before ``proven`` are counted; the chunk starts at ``at``
     end = min(len(text), chunk)
     left = encode(text[:end])
     while end < len(text):
-        width = overlap
+        # A boundary can only be at a space, so the overlap reaches beyond the last one.
+        last = text.rfind(" ", proven + 1, end)
+        width = max(overlap, end - last + overlap // 2)
         while True:
             start = max(end - width, proven)
-            if start == proven:  # no stable boundary in all of the chunk
-                at, end = proven, min(len(text), end + chunk)
+            if start == proven or last < 0:  # no stable boundary: a chunk twice as long
+                at, end = proven, min(len(text), proven + max(chunk, 2 * (end - proven)))
                 left = encode(text[at:end])
+                widened += 1
                 break
-            until = min(len(text), start + width + chunk)
+            until = min(len(text), end + chunk)
             right = encode(text[start:until])
             place = stable_boundary(text, left, at, right, start, end)
             if place is not None:

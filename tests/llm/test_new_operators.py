@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 from checks.compare import connect
-from starlens.llm import encode, lexical_search, packing, whitening
+from starlens.llm import decontamination, encode, lexical_search, packing, secrets, token_counts, whitening
 from starlens.llm.queries import ready
 
 LONG = "alpha beta gamma delta " * 4000
@@ -324,3 +324,60 @@ def test_products_are_exact_for_any_size():
     for largest in (3, 2**20 - 1, 2**40, 2**62):
         y = rng.integers(-largest, largest, (50, 4))
         assert (whitening.products(y) == y.astype(object).T @ y.astype(object)).all()
+
+
+# Earlier operators: cases that were missed
+
+
+def test_items_that_are_short_unspaced_or_oddly_spaced_are_found(spark):
+    ready(spark)
+    item = "A baker sells twelve loaves at three dollars each; how much money does the baker earn in total today"
+    bench = spark.createDataFrame(
+        [(1, "Name the largest planet"), (2, "光合作用把二氧化碳变成什么物质"), (3, item), (4, "Yes"), (5, "Who was Ada Lovelace")],
+        "item_id long, text string",
+    )
+    rows = [
+        (1, "Quiz night. Name the largest planet! Then we went home."),
+        (2, "题目:光合作用把二氧化碳变成什么物质?请回答。"),
+        (3, "x " + item.replace(" ", " ") + " y"),
+        (4, "x " + item.replace(" ", " ") + " y"),
+        (5, item.replace("each; how", "each – how")),
+        (6, "Yes, we name the planets and largest moons, yes."),
+        (7, "So who was Ada Lovelace, they asked."),
+        (8, "So who was Alan Turing, they asked."),
+        (9, "光合作用很重要,但是物质很多"),
+    ]
+    found = decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (2, 2), (3, 3), (4, 3), (5, 3), (7, 5)}
+
+
+def test_chunks_of_unspaced_texts_are_encoded_a_few_times_only():
+    library = Tokenizer.from_file(encode.tokenizer_path())
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghij"))
+    spaced_out = "".join(rng.choice(letters, 30_000)) + " some words in between " * 300 + "".join(rng.choice(letters, 20_000))
+    for text in ("".join(rng.choice(letters, 60_000)), spaced_out, "word " * 9000):
+        sizes = []
+
+        def counted(part, sizes=sizes):
+            sizes.append(len(part))
+            return token_counts.library_encode(library, part)
+
+        total, _ = token_counts.count_in_chunks(text, counted, 2_000, 200)
+        assert total == len(library.encode(text, add_special_tokens=False).ids)
+        assert sum(sizes) <= 4 * len(text)
+
+
+def test_merged_spans_equal_a_comparison_of_all_pairs():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        base = [("hex", int(a), int(a + n)) for a, n in zip(rng.integers(0, 40, 4), rng.integers(1, 9, 4), strict=True)]
+        more = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 40, 9), rng.integers(1, 9, 9), strict=True)]
+        held = [(b, f) for _, b, f in base]
+        kept = [
+            (s, e) for s, e in more
+            if not any(b <= s and e <= f for b, f in held) and not any(b <= s and e <= f and (b, f) != (s, e) for b, f in more)
+        ]
+        assert [x[1:] for x in secrets.merge(base, more) if x[0] == "random"] == sorted(kept)
+    many = [(20 * i, 20 * i + 30) for i in range(100_000)]
+    assert len(secrets.merge([], many)) == 100_000
