@@ -52,9 +52,13 @@ UNITS = (
 )
 
 # Each word stands between two spaces of its own, so neighbours can match one after the other.
-JOINED = r"(?<=\p{L})['’](?=\p{L})|(?<=\p{N})[.,](?=\p{N})|\p{Cf}"
+JOINED = r"['’](?<=\p{L}.)(?=\p{L})|[.,](?<=\p{N}.)(?=\p{N})|\p{Cf}"
 APART = r"[^\p{L}\p{M}\p{N}]+"
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+# Thai, Lao, Myanmar, Khmer, kana, ideographs; few texts have any character as high as these.
+UNSPACED = (
+    r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
+)
+HIGH = r"[^\x00-\u0DFF]"
 NAME = r" (?=\S{2})\p{L}*\p{Lu}[\p{L}\p{N}]* "
 PLAIN_NAME = r" \p{Lu}\p{Ll}+ "
 ORDINAL = "(?i:st|nd|rd|th)"
@@ -65,7 +69,7 @@ UNIT = f" ¤d  (?i:{'|'.join(UNITS)}) "
 
 def spaced(text: Column) -> Column:
     """The text's words without punctuation, with two spaces between them."""
-    cut = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+    cut = F.when(text.rlike(HIGH), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
     bare = F.regexp_replace(cut, JOINED, "")
     apart = F.concat(F.lit("  "), F.regexp_replace(bare, APART, "  "), F.lit("  "))
     return F.regexp_replace(apart, ATTACHED, "$1  $2")
