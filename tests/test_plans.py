@@ -165,3 +165,16 @@ def test_hot_month_is_written_by_several_tasks(spark, tmp_path):
 def test_feature_rows_need_their_columns(spark):
     with pytest.raises(ValueError, match="review_text"):
         warehouse.clean_feature_rows(spark.range(1))
+
+
+def test_deduplication_shuffles_no_text_of_single_rows(spark):
+    """Only keys, and rows of repeated keys, go through an exchange."""
+    rows = spark.range(0, 5000, 1, 4).select(
+        F.lit("p").alias("parent_asin"), (F.col("id") % 4900).cast("string").alias("review_id"),
+        F.col("id").alias("review_timestamp"), F.repeat(F.lit("text "), 50).alias("review_text"),
+    )
+    df = staging.dedupe(rows, order_cols=("review_timestamp",))
+    kept = df.collect()
+    assert len(kept) == 4900 and max(r["review_timestamp"] for r in kept) == 4899
+    plan = plan_of(df).split("Initial Plan")[0]
+    assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan and "SortMergeJoin" not in plan
