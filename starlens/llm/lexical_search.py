@@ -18,8 +18,8 @@ Scores are whole numbers. Equal scores are ordered by ascending id.
 
 Defined results: a text without terms, or a null one, is in no list and not counted. A
 document without an id comes before all others among equal scores; rows with the same id are
-documents of their own. A query without terms, or whose terms nothing holds, has no rows;
-queries with the same id are ranked apart, as rows with equal texts under one id are one.
+documents of their own. A query without terms, or whose terms nothing holds, has no rows.
+Queries with the same id and other texts are ranked apart; repeated rows are one query.
 Other columns are ignored.
 Terms are told apart by 64-bit hashes within a shard, and by their bytes against a query.
 """
@@ -33,7 +33,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
