@@ -15,6 +15,12 @@ of keys; a range adds up all blocks' counts and sends back to each block the sum
 that block's keys, in the same order. A word's key may thus occur in every block, but
 comes once from each, however frequent it is.
 
+Beyond ``FANOUT`` blocks the way to the ranges has several levels, so that no node sends
+or receives more than ``FANOUT`` rows and their number follows the input: with D digits,
+a node is a block's number whose first l digits have been replaced by those of a range.
+It adds up what its ``FANOUT`` children sent it before it sends it on by the next digit,
+and the sums come back the same way. Keys have 64 bits and counts are 64-bit sums.
+
 Defined results: a text that is null or has no words has 0 words, no losses and no score,
 and counts in neither model. Rows without an id are scored, with no label. Repeated rows
 are counted and scored each. Several labels of one id count as good if any is. Without
@@ -38,9 +44,10 @@ SALTS = 4
 EDGE = np.uint64(0x5EED5EED5EED5EED)  # stands for the start and the end of a document
 ONE = np.uint64(1)
 SUMMARY = -1
-#: Bytes of a key that are sent; a range holds about a block's number of keys at any size
-#: of the corpus, so 48 bits tell them apart.
-KEY_BYTES = 6
+#: Rows of packed counts that a node sends or receives at most.
+FANOUT = 64
+#: In packed counts, stands for a count that follows in 64 bits.
+MANY = 255
 
 
 def _sequence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,82 +114,142 @@ class Block:
         return out
 
 
-def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
-    return (((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
+class Route:
+    """How counts go from blocks to ranges of keys: ``levels`` digits to the base ``width``."""
 
+    def __init__(self, blocks: int, fanout: int = FANOUT):
+        self.levels = 1
+        while fanout**self.levels < blocks:
+            self.levels += 1
+        self.width = 1
+        while self.width**self.levels < blocks:
+            self.width += 1
 
-def short_keys(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+    def digits(self, keys: np.ndarray, level: int) -> np.ndarray:
+        """The digit of each key's range that a node of a level sends it by."""
+        ranges = ((keys >> np.uint64(32)) * np.uint64(self.width**self.levels)) >> np.uint64(32)
+        return (ranges.astype(np.int64) // self._weight(level)) % self.width
 
+    def receiver(self, node: int, level: int, digit: int) -> int:
+        weight = self._weight(level)
+        return node + (digit - node // weight % self.width) * weight
 
-def long_keys(held: bytes) -> np.ndarray:
-    out = np.zeros((len(held) // KEY_BYTES, 8), dtype=np.uint8)
-    out[:, :KEY_BYTES] = np.frombuffer(held, dtype=np.uint8).reshape(-1, KEY_BYTES)
-    return out.view("<u8").ravel()
+    def _weight(self, level: int) -> int:
+        return self.width ** (self.levels - 1 - level)
 
 
-PACKED = "range int, block int, keys binary, everywhere binary, target binary"
-SUMMED = "block int, range int, everywhere binary, target binary, words long, tokens long, target_tokens long"
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted distinct keys: the first one, then the gaps in as many bytes as the widest takes."""
+    gaps = np.diff(keys)
+    size = max(1, (int(gaps.max()).bit_length() + 7) // 8) if len(gaps) else 1
+    cut = np.ascontiguousarray(gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size])
+    return bytes([size]) + keys[:1].astype("<u8").tobytes() + cut.tobytes()
 
 
-def _count(ranges: int):
-    def run(rows: pa.Table) -> pa.Table:
-        number = rows.column("block")[0].as_py()
-        block = Block(rows)
-        everywhere, target = block.totals()
-        edges = np.searchsorted(_range_of(block.keys, ranges), np.arange(ranges + 1))
-        out = []
-        for r in range(ranges):
-            s = slice(edges[r], edges[r + 1])
-            if edges[r] < edges[r + 1]:
-                out.append(
-                    {
-                        "range": r,
-                        "block": number,
-                        "keys": short_keys(block.keys[s]),
-                        "everywhere": everywhere[s].astype("<u4").tobytes(),
-                        "target": target[s].astype("<u4").tobytes(),
-                    }
-                )
-        types = pa.schema(
-            [("range", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("everywhere", pa.binary()), ("target", pa.binary())]
-        )
-        return pa.Table.from_pylist(out, types)
+def unpacked_keys(held: bytes) -> np.ndarray:
+    size = held[0]
+    gaps = np.zeros(((len(held) - 9) // size, 8), dtype=np.uint8)
+    gaps[:, :size] = np.frombuffer(held[9:], dtype=np.uint8).reshape(-1, size)
+    return np.cumsum(np.concatenate([np.frombuffer(held[1:9], "<u8"), gaps.view("<u8").ravel()]), dtype=np.uint64)
 
-    return run
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count, and those of ``MANY`` or more in 64 bits behind."""
+    return np.minimum(counts, MANY).astype(np.uint8).tobytes() + counts[counts >= MANY].astype("<i8").tobytes()
 
+
+def unpacked_counts(held: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(held[:n], np.uint8).astype(np.int64)
+    out[out == MANY] = np.frombuffer(held[n:], "<i8")
+    return out
+
+
+PACKED = "node long, child long, keys binary, everywhere binary, target binary"
+PACKED_TYPES = pa.schema(
+    [("node", pa.int64()), ("child", pa.int64()), ("keys", pa.binary()), ("everywhere", pa.binary()), ("target", pa.binary())]
+)
+SUMMED = "child long, node long, n long, everywhere binary, target binary, words long, tokens long, target_tokens long"
 SUMMED_TYPES = pa.schema(
-    [("block", pa.int32()), ("range", pa.int32()), ("everywhere", pa.binary()), ("target", pa.binary()),
+    [("child", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("everywhere", pa.binary()), ("target", pa.binary()),
      ("words", pa.int64()), ("tokens", pa.int64()), ("target_tokens", pa.int64())]
 )
 
 
-def _add(rows: pa.Table) -> pa.Table:
-    number = rows.column("range")[0].as_py()
-    blocks = rows.column("block").to_pylist()
-    keys = [long_keys(x) for x in rows.column("keys").to_pylist()]
-    kinds, at = np.unique(np.concatenate(keys), return_inverse=True)
-
-    def total(name: str) -> np.ndarray:
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in rows.column(name).to_pylist()])
-        return np.bincount(at, weights=counts, minlength=len(kinds)).astype(np.int64)
-
-    everywhere, target = total("everywhere"), total("target")
-    edges = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+def _send(route: Route, level: int, node: int, keys: np.ndarray, everywhere: np.ndarray, target: np.ndarray) -> pa.Table:
+    """Rows from a node of a level to the next one, by the digit of the keys' ranges."""
+    edges = np.searchsorted(route.digits(keys, level), np.arange(route.width + 1))
     out = []
-    for i, block in enumerate(blocks):
-        own = at[edges[i] : edges[i + 1]]
+    for digit in np.flatnonzero(np.diff(edges)).tolist():
+        s = slice(edges[digit], edges[digit + 1])
         out.append(
-            {"block": block, "range": number, "everywhere": np.minimum(everywhere[own], 2**32 - 1).astype("<u4").tobytes(),
-             "target": np.minimum(target[own], 2**32 - 1).astype("<u4").tobytes()}
+            {"node": route.receiver(node, level, digit), "child": node, "keys": packed_keys(keys[s]),
+             "everywhere": packed_counts(everywhere[s]), "target": packed_counts(target[s])}
         )
-    single = (kinds & ONE) == ONE
-    out.append(
-        {"block": SUMMARY, "range": number, "words": int(single.sum()), "tokens": int(everywhere[single].sum()),
-         "target_tokens": int(target[single].sum())}
-    )
-    return pa.Table.from_pylist(out, SUMMED_TYPES)
+    return pa.Table.from_pylist(out, PACKED_TYPES)
+
+
+class Node:
+    """What the children of a node sent it, with the distinct keys."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows = rows
+        self.number = rows.column("node")[0].as_py()
+        self.children = rows.column("child").to_pylist()
+        keys = [unpacked_keys(x) for x in rows.column("keys").to_pylist()]
+        self.sizes = [len(k) for k in keys]
+        self.keys, self.at = np.unique(np.concatenate(keys), return_inverse=True)
+
+    def total(self, name: str) -> np.ndarray:
+        parts = zip(self.rows.column(name).to_pylist(), self.sizes, strict=True)
+        out = np.zeros(len(self.keys), dtype=np.int64)
+        np.add.at(out, self.at, np.concatenate([unpacked_counts(x, n) for x, n in parts]))
+        return out
+
+    def answers(self, everywhere: np.ndarray, target: np.ndarray) -> list[dict]:
+        """For each child the sums for its keys, in its order."""
+        own = np.split(self.at, np.cumsum(self.sizes)[:-1])
+        return [
+            {"child": child, "node": self.number, "n": len(at), "everywhere": packed_counts(everywhere[at]), "target": packed_counts(target[at])}
+            for child, at in zip(self.children, own, strict=True)
+        ]
+
+
+def _count(route: Route):
+    def run(rows: pa.Table) -> pa.Table:
+        block = Block(rows)
+        return _send(route, 0, rows.column("block")[0].as_py(), block.keys, *block.totals())
+
+    return run
+
+
+def _forward(route: Route, level: int):
+    def run(rows: pa.Table) -> pa.Table:
+        node = Node(rows)
+        return _send(route, level, node.number, node.keys, node.total("everywhere"), node.total("target"))
+
+    return run
+
+
+def _add(rows: pa.Table) -> pa.Table:
+    node = Node(rows)
+    everywhere, target = node.total("everywhere"), node.total("target")
+    single = (node.keys & ONE) == ONE
+    summary = {
+        "child": SUMMARY, "node": node.number, "words": int(single.sum()), "tokens": int(everywhere[single].sum()),
+        "target_tokens": int(target[single].sum()),
+    }
+    return pa.Table.from_pylist([*node.answers(everywhere, target), summary], SUMMED_TYPES)
+
+
+def _joined(sums: pa.Table, name: str) -> np.ndarray:
+    """Sums for a node's or block's keys in its order, from the nodes that it sent them to."""
+    held, sizes = sums.column(name).to_pylist(), sums.column("n").to_pylist()
+    parts = [unpacked_counts(held[i], sizes[i]) for i in np.argsort(sums.column("node").to_numpy())]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+
+
+def _back(rows: pa.Table, sums: pa.Table) -> pa.Table:
+    return pa.Table.from_pylist(Node(rows).answers(_joined(sums, "everywhere"), _joined(sums, "target")), SUMMED_TYPES)
 
 
 def _losses(block: Block, counts: np.ndarray, own: bool | np.ndarray, words: int, tokens: int, mass: float) -> np.ndarray:
@@ -208,18 +275,11 @@ def _score(words: int, tokens: int, target_tokens: int, mass: float):
         if not rows.num_rows:
             return SCORED_TYPES.empty_table()
         block = Block(rows)
-        order = np.argsort(sums.column("range").to_numpy())
-
-        def counts(name: str) -> np.ndarray:
-            parts = sums.column(name).to_pylist()
-            joined = b"".join(parts[i] for i in order)
-            return np.frombuffer(joined, "<u4").astype(np.int64)
-
         n = block.counts
         some = n > 0
         mean = lambda loss: np.bincount(block.owner, weights=loss, minlength=len(n)) / np.maximum(n, 1)
-        target = mean(_losses(block, counts("target"), block.good[block.owner], words, target_tokens, mass))
-        background = mean(_losses(block, counts("everywhere"), True, words, tokens, mass))
+        target = mean(_losses(block, _joined(sums, "target"), block.good[block.owner], words, target_tokens, mass))
+        background = mean(_losses(block, _joined(sums, "everywhere"), True, words, tokens, mass))
         return pa.Table.from_arrays(
             [
                 block.documents.column("doc_id"),
@@ -239,30 +299,47 @@ def dealt(documents: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
     place = lambda doc_id, salt: F.pmod(F.xxhash64(doc_id, salt), F.lit(blocks)).cast("int")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
-    # Rows without an id have no label, so they are dealt by their text.
-    texts = texts.select(
-        place(F.coalesce("doc_id", F.xxhash64("text")), F.col("salt")).alias("block"), "doc_id", "text", F.lit(False).alias("is_label")
-    )
+    # Rows without an id have no label, so they are dealt by their text, and rows without text count in no model, so they are dealt evenly.
+    empty = F.coalesce(F.length("text"), F.lit(0)) == 0
+    dealt_by = F.when(empty, F.monotonically_increasing_id()).otherwise(F.coalesce("doc_id", F.xxhash64("text")))
+    texts = texts.select(place(dealt_by, F.col("salt")).alias("block"), "doc_id", "text", F.lit(False).alias("is_label"))
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
     good = good.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
     good = good.select(place(F.col("doc_id"), F.col("salt")).alias("block"), "doc_id", F.lit(None).cast("string").alias("text"), F.lit(True).alias("is_label"))
     return texts.unionByName(good)
 
 
-def score_documents(documents: DataFrame, labels: DataFrame, block_bytes: int = BLOCK_BYTES, mass: float = MASS) -> DataFrame:
+def packed_levels(rows: DataFrame, route: Route, folder: str) -> list[DataFrame]:
+    """Packed counts that the nodes of each level receive; all but the last are stored."""
+    spark = rows.sparkSession
+    found = [rows.groupBy("block").applyInArrow(_count(route), PACKED)]
+    for level in range(1, route.levels):
+        found[-1].write.parquet(f"{folder}/packed-{level}")
+        found[-1] = spark.read.parquet(f"{folder}/packed-{level}")
+        found.append(found[-1].groupBy("node").applyInArrow(_forward(route, level), PACKED))
+    return found
+
+
+def score_documents(
+    documents: DataFrame, labels: DataFrame, block_bytes: int = BLOCK_BYTES, mass: float = MASS, fanout: int = FANOUT
+) -> DataFrame:
     """Losses of every document under both models, and their difference."""
     spark = documents.sparkSession
     folder = scratch_path(spark, "cross-entropy")
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
+    route = Route(blocks, fanout)
     rows = dealt(documents, labels, blocks)
-    packed = rows.groupBy("block").applyInArrow(_count(blocks), PACKED)
-    packed.groupBy("range").applyInArrow(_add, SUMMED).write.parquet(folder)
-    sums = spark.read.parquet(folder)
-    whole = sums.where(F.col("block") == SUMMARY).agg(F.sum("words"), F.sum("tokens"), F.sum("target_tokens")).first()
+    packed = packed_levels(rows, route, folder)
+    packed[-1].groupBy("node").applyInArrow(_add, SUMMED).write.parquet(f"{folder}/sums")
+    sums = spark.read.parquet(f"{folder}/sums")
+    whole = sums.where(F.col("child") == SUMMARY).agg(F.sum("words"), F.sum("tokens"), F.sum("target_tokens")).first()
     scorer = _score(*[x or 0 for x in whole], mass)
-    of_block = sums.where(F.col("block") != SUMMARY).select("block", "range", "everywhere", "target")
-    return rows.groupBy("block").cogroup(of_block.groupBy("block")).applyInArrow(scorer, SCORED)
+    answers = sums.where(F.col("child") != SUMMARY)
+    for received in reversed(packed[:-1]):
+        answers = received.groupBy("node").cogroup(answers.groupBy("child")).applyInArrow(_back, SUMMED)
+    answers = answers.select("child", "node", "n", "everywhere", "target")
+    return rows.groupBy("block").cogroup(answers.groupBy("child")).applyInArrow(scorer, SCORED)
 
 
 def op1_cross_entropy(spark, sf_dir: str) -> DataFrame:

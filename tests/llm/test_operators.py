@@ -29,6 +29,7 @@ from starlens.llm import (
 )
 from starlens.llm.components import components
 from starlens.llm.queries import ready
+from starlens.session import scratch_path
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double, block string, label int"
 LONG = "alpha beta gamma delta " * 4000
@@ -403,7 +404,9 @@ def test_toxicity_gradient():
 # Cross-entropy, mixing, decontamination
 
 
-def test_cross_entropy_against_brute_force(spark):
+@pytest.mark.parametrize("fanout", [64, 2])
+def test_cross_entropy_against_brute_force(spark, fanout):
+    """With a fan-out of 2, counts pass through several levels."""
     ready(spark)
     rows = [(1, "a b a c"), (2, "a b b"), (3, "c a"), (4, ""), (5, None), (None, "a b"), (6, "a b b")]
     marks = [(1, 1), (2, 1), (3, 0), (None, 1)]
@@ -411,6 +414,7 @@ def test_cross_entropy_against_brute_force(spark):
         spark.createDataFrame(rows, "doc_id long, text string"),
         spark.createDataFrame(marks, "doc_id long, quality int"),
         block_bytes=6,
+        fanout=fanout,
     ).collect()
     good, end = {1, 2}, "</s>"
     docs = [(i, words(t) + [end]) for i, t in rows if words(t)]
@@ -441,6 +445,38 @@ def test_cross_entropy_against_brute_force(spark):
             assert np.allclose((r["target_loss"], r["background_loss"]), expected[r["doc_id"]])
 
 
+def test_cross_entropy_rows_follow_the_input(spark, documents):
+    """Each level has at most as many rows as blocks times the fan-out."""
+    ready(spark)
+    docs = spark.createDataFrame([d[:2] for d in documents], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    for blocks, levels in [(8, 2), (16, 2), (64, 3)]:
+        route = cross_entropy.Route(blocks, 4)
+        assert route.levels == levels and route.width <= 4 <= blocks <= route.width**levels
+        packed = cross_entropy.packed_levels(cross_entropy.dealt(docs, marks, blocks), route, scratch_path(spark, "test-levels"))
+        nodes = blocks
+        for received in packed:
+            assert received.count() <= nodes * route.width
+            nodes = received.select("node").distinct().count()
+            assert nodes <= route.width**levels
+
+
+def test_cross_entropy_packs_whole_numbers():
+    counts = np.array([0, 1, 254, 255, 256, 2**32 - 1, 2**32, 2**53 + 1, 2**62])
+    assert np.array_equal(cross_entropy.unpacked_counts(cross_entropy.packed_counts(counts), len(counts)), counts)
+    for keys in ([5], [0, 2**64 - 1], [1, 2, 300, 2**40, 2**63, 2**64 - 2]):
+        keys = np.array(keys, dtype=np.uint64)
+        assert np.array_equal(cross_entropy.unpacked_keys(cross_entropy.packed_keys(keys)), keys)
+    # Counts of several nodes add up beyond 32 bits and exactly beyond 53.
+    route, keys = cross_entropy.Route(2), np.array([6, 7], dtype=np.uint64)
+    big = np.array([2**53, 2**31])
+    rows = [cross_entropy._send(route, 0, node, keys, big + node, big) for node in (0, 1)]
+    node = cross_entropy.Node(pa.concat_tables(rows))
+    assert node.total("everywhere").tolist() == [2**54 + 1, 2**32 + 1]
+    for answer in node.answers(node.total("everywhere"), node.total("target")):
+        assert cross_entropy.unpacked_counts(answer["everywhere"], 2).tolist() == [2**54 + 1, 2**32 + 1]
+
+
 def test_mixing_meets_its_limits(spark):
     ready(spark)
     rows = [(i, "w " * 10, "big") for i in range(3000)] + [(3000 + i, "w " * 10, "small") for i in range(300)]
