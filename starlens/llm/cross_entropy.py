@@ -295,8 +295,11 @@ def _score(words: int, tokens: int, target_tokens: int, mass: float):
 
 
 def dealt(documents: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
-    """Documents and the labels of good ones, with the block that holds both."""
-    place = lambda doc_id, salt: F.pmod(F.xxhash64(doc_id, salt), F.lit(blocks)).cast("int")
+    """Documents and the labels of good ones, with the block that holds both.
+
+    Blocks are longs, as nodes are: groups of both meet only if their keys hash alike.
+    """
+    place = lambda doc_id, salt: F.pmod(F.xxhash64(doc_id, salt), F.lit(blocks)).cast("long")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
     # Rows without an id have no label, so they are dealt by their text, and rows without text count in no model, so they are dealt evenly.
