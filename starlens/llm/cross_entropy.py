@@ -44,8 +44,9 @@ SALTS = 4
 EDGE = np.uint64(0x5EED5EED5EED5EED)  # stands for the start and the end of a document
 ONE = np.uint64(1)
 SUMMARY = -1
-#: Rows of packed counts that a node sends or receives at most.
-FANOUT = 64
+#: Rows of packed counts that a node sends or receives at most. Each holds some kilobytes
+#: at this number, so a further level, which stores all counts again, saves little before.
+FANOUT = 4096
 #: In packed counts, stands for a count that follows in 64 bits.
 MANY = 255
 

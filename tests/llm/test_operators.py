@@ -404,7 +404,7 @@ def test_toxicity_gradient():
 # Cross-entropy, mixing, decontamination
 
 
-@pytest.mark.parametrize("fanout", [64, 2])
+@pytest.mark.parametrize("fanout", [cross_entropy.FANOUT, 2])
 def test_cross_entropy_against_brute_force(spark, fanout):
     """With a fan-out of 2, counts pass through several levels."""
     ready(spark)
