@@ -9,7 +9,9 @@ which gives the digests that differ. If cells are left over, both sketches are b
 anew with twice as many cells.
 
 The fingerprint is the smallest sketch, in base64. Likeness is twice the number of
-common parts over the number of parts of both (Dice), from the recovered difference.
+common parts over the number of parts of both (Dice), from the recovered difference:
+``near_edited`` follows from ``n_parts``, ``edited_parts`` and the recovered digests,
+``removed`` (in the text only) and ``added`` (in the edited one only), in ascending order.
 
 Defined results: a null text counts as empty; texts without words have an empty sketch,
 and two such texts have likeness 1. The next document is the one with the next larger
@@ -38,6 +40,9 @@ PART_WORDS = 4
 LEAST_CELLS = 8
 #: Bytes of text in a range of ids, and of the texts that are looked at together.
 RANGE_BYTES = 4_000_000
+#: Ranges at most, as their bounds and first ids pass through the driver. Rows of a range are
+#: sorted by Spark, which spills, and looked at in steps, so larger ranges need no more memory.
+MOST_RANGES = 20_000
 STEP_BYTES = 1_000_000
 FIRST_ID = -(2**63)
 
@@ -157,17 +162,20 @@ class Parts:
         return self.digests[at], owner
 
 
-def differing(parts: Parts, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """How many digests differ between text one[i] and text other[i], by peeling."""
-    out = np.zeros(len(one), dtype=np.int64)
+def difference(parts: Parts, one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests that text one[i] and text other[i] don't share, with i and the side (+1, -1), by peeling."""
+    found = []
     left, cells = np.arange(len(one)), LEAST_CELLS
     while len(left):
         sizes = np.full(len(left), cells)
         a, b = sketch(*parts.of(one[left]), sizes), sketch(*parts.of(other[left]), sizes)
-        _, owner, _, failed = peel(a.minus(b))
-        out[left] = np.bincount(owner, minlength=len(left))
+        digests, owner, sides, failed = peel(a.minus(b))
+        whole = ~failed[owner]
+        found.append((digests[whole], left[owner[whole]], sides[whole]))
         left, cells = left[failed], cells * 2
-    return out
+    digests, owner, sides = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((digests, owner))
+    return digests[order], owner[order], sides[order]
 
 
 def fingerprints(parts: Parts, texts: np.ndarray) -> list[str]:
@@ -181,9 +189,15 @@ def fingerprints(parts: Parts, texts: np.ndarray) -> list[str]:
     return [base64.b64encode(row.tobytes()).decode() for row in rows]
 
 
-def likeness(parts: Parts, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+def likeness(parts: Parts, one: np.ndarray, other: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Dice likeness, from the owners of the digests that aren't shared."""
     both = parts.counts[one] + parts.counts[other]
-    return np.where(both == 0, 1.0, (both - differing(parts, one, other)) / np.maximum(both, 1))
+    return np.where(both == 0, 1.0, (both - np.bincount(owner, minlength=len(one))) / np.maximum(both, 1))
+
+
+def _lists(digests: np.ndarray, owner: np.ndarray, n: int) -> pa.ListArray:
+    offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, digests.view(np.int64))
 
 
 def edited(text: str, following: str) -> str:
@@ -196,6 +210,8 @@ def _compare(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatc
     changed = [edited(a, b) for a, b in zip(texts, following, strict=True)]
     parts = Parts(texts + changed + following)
     own = np.arange(n)
+    digests, owner, sides = difference(parts, own, own + n)
+    _, next_owner, _ = difference(parts, own, own + 2 * n)
     prints = fingerprints(parts, np.arange(2 * n))
     return pa.RecordBatch.from_pydict(
         {
@@ -204,8 +220,12 @@ def _compare(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatc
             "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed]),
             "fingerprint": pa.array(prints[:n]),
             "edited_fingerprint": pa.array(prints[n:]),
-            "near_edited": pa.array(likeness(parts, own, own + n)),
-            "near_next": pa.array(likeness(parts, own, own + 2 * n)),
+            "near_edited": pa.array(likeness(parts, own, own + n, owner)),
+            "near_next": pa.array(likeness(parts, own, own + 2 * n, next_owner)),
+            "n_parts": pa.array(parts.counts[own]),
+            "edited_parts": pa.array(parts.counts[own + n]),
+            "removed": _lists(digests[sides > 0], owner[sides > 0], n),
+            "added": _lists(digests[sides < 0], owner[sides < 0], n),
         }
     )
 
@@ -233,20 +253,20 @@ def _in_order(batches):
 
 OUTPUT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
+    "near_edited double, near_next double, n_parts long, edited_parts long, removed array<long>, added array<long>"
 )
 
 
 def fingerprint_versions(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Fingerprints of each document and of its edited text, and their likeness.
 
-    Texts are shuffled once, into ranges of ids of about ``range_bytes`` each. The first
-    row of each range is also sent to the range before it.
+    Texts are shuffled once, into ranges of ids of about ``range_bytes`` each, or larger ones
+    beyond ``MOST_RANGES``. The first row of each range is also sent to the range before it.
     """
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     narrow = narrow.withColumn("place", F.coalesce("doc_id", F.lit(FIRST_ID)))
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(1, -(-total // range_bytes))
+    ranges = min(max(1, -(-total // range_bytes)), MOST_RANGES)
     steps = [i / ranges for i in range(1, ranges)] or [0.5]
     bounds = narrow.agg(F.percentile_approx("place", steps, 100_000)).first()[0] or []
     bounds = np.unique(np.array(bounds, dtype=np.int64))

@@ -271,6 +271,45 @@ def test_fingerprints(spark, small, documents):
     assert near[:, 0].mean() > 0.4 and (near[:, 0] > near[:, 1]).mean() > 0.9
 
 
+def parts_of(text):
+    """Runs of at most four words within a line, each with the number of equal ones before it."""
+    lines = [re.findall(r"[^\x20\x09-\x0D]+", line) for line in text.split("\n")]
+    seen, out = Counter(), []
+    for line in lines:
+        for k in range(0, len(line), fingerprints.PART_WORDS):
+            # A part is the stretch of text, so that white space inside it counts; the tables have single spaces.
+            part = " ".join(line[k : k + fingerprints.PART_WORDS])
+            out.append((part, seen[part]))
+            seen[part] += 1
+    return set(out)
+
+
+def test_likeness_against_brute_force(spark, small, documents):
+    found = query(spark, small, "op2_fingerprints")
+    texts = [d[1] or "" for d in documents]
+    for n, (i, *_) in enumerate(documents):
+        following = texts[(n + 1) % len(texts)]
+        changed = fingerprints.edited(texts[n], following)
+        own, new, after = map(parts_of, (texts[n], changed, following))
+        row = found[i]
+        assert (row["n_parts"], row["edited_parts"]) == (len(own), len(new))
+        assert (len(row["removed"]), len(row["added"])) == (len(own - new), len(new - own))
+        assert len(set(row["removed"]) | set(row["added"])) == len(own ^ new)
+        for name, other in (("near_edited", new), ("near_next", after)):
+            both = len(own) + len(other)
+            assert row[name] == pytest.approx(2 * len(own & other) / both if both else 1.0)
+        if row["n_parts"] + row["edited_parts"]:
+            differing = len(row["removed"]) + len(row["added"])
+            assert row["near_edited"] == pytest.approx(1 - differing / (row["n_parts"] + row["edited_parts"]))
+
+
+def test_fingerprints_stay_within_a_number_of_ranges(spark, odd, monkeypatch):
+    whole = Counter(map(str, fingerprints.fingerprint_versions(odd).collect()))
+    monkeypatch.setattr(fingerprints, "MOST_RANGES", 2)
+    few = fingerprints.fingerprint_versions(odd, range_bytes=1)
+    assert Counter(map(str, few.collect())) == whole
+
+
 def test_fingerprints_over_many_ranges_and_odd_rows(spark, odd):
     rows = fingerprints.fingerprint_versions(odd, range_bytes=20).collect()
     order = sorted(ODD, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
