@@ -540,6 +540,36 @@ def test_mixing_meets_its_limits(spark):
     assert again == Counter(copies)
 
 
+def test_mixing_query_against_brute_force(spark, small, documents):
+    """Shares, exponent and weights by plain bisection, and tokens taken within half a block of the budget."""
+    found = query(spark, small, "op5_mixing")
+    tokens = Counter()
+    for i, text, _, source in documents:
+        assert (found[i]["source"], found[i]["n_tokens"]) == (source, len(words(text or "")))
+        tokens[source] += found[i]["n_tokens"]
+    size = {s: n for s, n in tokens.items() if n}
+    whole, largest = sum(size.values()), max(size.values())
+    most = lambda x: max((n / largest) ** (x - 1) for n in size.values())
+    limit = mixing.QUERY_REPETITIONS
+    low, high = 0.0, 1.0
+    assert most(low) > limit  # so there is something to bisect
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (low, middle) if most(middle) <= limit else (middle, high)
+    raised = {s: (n / whole) ** high for s, n in size.items()}
+    weight = {s: r / sum(raised.values()) for s, r in raised.items()}
+    budget = max(n / weight[s] for s, n in size.items())
+    taken, blocks = Counter(), Counter()
+    for r in found.values():
+        taken[r["source"]] += r["copies"] * r["n_tokens"]
+        blocks[r["source"], r["block"]] += r["n_tokens"]
+        assert 1 <= r["copies"] <= 2
+        assert r["weight"] == pytest.approx(weight.get(r["source"], 0.0), rel=1e-5)
+    for s, n in size.items():
+        widest = max(b for (t, _), b in blocks.items() if t == s)
+        assert n <= taken[s] and abs(taken[s] - weight[s] * budget) <= widest / 2 + 1e-4 * n
+
+
 def test_decontamination_of_verbatim_and_changed_questions(spark):
     ready(spark)
     item = "A train leaves with Alice and carries 40 kg of apples to the town where Bob waits for 3 hours in the rain"
