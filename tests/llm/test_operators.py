@@ -484,6 +484,28 @@ def test_cross_entropy_against_brute_force(spark, fanout):
             assert np.allclose((r["target_loss"], r["background_loss"]), expected[r["doc_id"]])
 
 
+def test_cross_entropy_over_many_shuffle_partitions(spark, documents):
+    """Sums meet their blocks also where partitions aren't merged, at one level and at several."""
+    ready(spark)
+    docs = spark.createDataFrame([d[:2] for d in documents], "doc_id long, text string")
+    marks = spark.createDataFrame([(documents[0][0], 1), (documents[5][0], 1)], "doc_id long, quality int")
+    size = sum(len((d[1] or "").encode()) for d in documents)
+
+    def scored(**options):
+        rows = cross_entropy.score_documents(docs, marks, **options).collect()
+        return {r["doc_id"]: (r["target_loss"] or 0.0, r["background_loss"] or 0.0) for r in rows}
+
+    whole = scored()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for fanout in (cross_entropy.FANOUT, 3):
+            found = scored(block_bytes=size // 12, fanout=fanout)
+            assert found.keys() == whole.keys()
+            assert all(np.allclose(found[i], whole[i]) for i in whole)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_cross_entropy_rows_follow_the_input(spark, documents):
     """Each level has at most as many rows as blocks times the fan-out."""
     ready(spark)
