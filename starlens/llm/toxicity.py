@@ -10,7 +10,10 @@ a text are scored. A document's score is that of its worst window.
 Training takes a bounded sample of labelled documents (``SAMPLE_TOXIC`` and
 ``SAMPLE_CLEAN``), whole. A toxic document's label holds for some window only, so words
 and word beginnings that tell the sample's classes apart choose the windows to learn
-from. A shift of the logit puts the best split of the sample at ``THRESHOLD``.
+from. A shift of the logit puts the best split of the sample at ``THRESHOLD``. A network
+knows by heart what it was trained on, so that split is found on logits from ``FOLDS``
+networks, each of which scores the part of the sample that it didn't see. Equal texts
+are in the same part.
 
 Defined results: a text that is null or has no letters scores 0, and so does every text
 if the labels lack one of the classes. A label counts if it is 0 or 1 and belongs to a
@@ -21,6 +24,7 @@ pass through ``score_documents`` as they are.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +42,9 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 700, 1100
 #: Windows of the sample to learn from.
 TRAIN_TOXIC, TRAIN_CLEAN = 3000, 5000
 EPOCHS, BATCH, RATE = 12, 128, 0.01
+#: Spread of the tables before training: small, as words that it never meets keep their vectors.
+TABLE_SPREAD = 0.01
+FOLDS = 3
 THRESHOLD = 0.3
 SEED = 20
 
@@ -106,7 +113,7 @@ class Network:
         rng = np.random.default_rng(seed)
         draw = lambda *shape, by=0.3: (rng.standard_normal(shape) * by).astype(np.float32)
         self.p = {
-            "words": draw(BUCKETS, WIDTH, by=0.1), "characters": draw(BUCKETS, WIDTH, by=0.1),
+            "words": draw(BUCKETS, WIDTH, by=TABLE_SPREAD), "characters": draw(BUCKETS, WIDTH, by=TABLE_SPREAD),
             "in0": draw(WIDTH, 3 * STATE), "in1": draw(WIDTH, 3 * STATE),
             "bias0": np.zeros(3 * STATE, np.float32), "bias1": np.zeros(3 * STATE, np.float32),
             "back0": draw(STATE, 3 * STATE), "back1": draw(STATE, 3 * STATE),
@@ -219,14 +226,21 @@ class Model:
         out = np.zeros(len(texts))
         if self.network is None:
             return out
-        logits, text = _window_logits(self.network, texts)
-        best = np.full(len(texts), -np.inf)
-        np.maximum.at(best, text, logits)
+        best = _worst(self.network, texts)
         some = np.isfinite(best)
         out[some] = 1 / (1 + np.exp(-np.clip(best[some] + self.shift, -40, 40)))
         return out
 
 
+def _worst(network: Network, texts: list[str | None], together: int = 200) -> np.ndarray:
+    """Largest logit of each text's windows; minus infinity without words."""
+    best = np.full(len(texts), -np.inf)
+    for at in range(0, len(texts), together):
+        logits, text = _window_logits(network, texts[at : at + together])
+        np.maximum.at(best, at + text, logits)
+    return best
+
+
 def _window_logits(network: Network, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     spans, starts, ends, owner = letter_words(texts)
     if not len(starts):
@@ -252,13 +266,34 @@ def _evidence(keys: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> np.ndar
 
 
 def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Model:
-    """Fit the network to whole texts and their labels."""
+    """Fit the network to whole texts and their labels, and set its threshold on parts held back."""
     toxic = toxic.astype(float)
-    if not len(texts) or toxic.min() == toxic.max():
+    network = train_network(texts, toxic, epochs, seed)
+    if network is None:
         return Model(None)
+    return Model(network, _shift(_unseen_logits(texts, toxic, epochs, seed), toxic))
+
+
+def _unseen_logits(texts: list[str], toxic: np.ndarray, epochs: int, seed: int) -> np.ndarray:
+    """Logit of each text by a network trained without its part; NaN where there is none."""
+    part = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) % FOLDS for t in texts])
+    out = np.full(len(texts), np.nan)
+    for k in range(FOLDS):
+        held = np.flatnonzero(part == k)
+        rest = np.flatnonzero(part != k)
+        network = train_network([texts[i] for i in rest], toxic[rest], epochs, seed)
+        if network is not None:
+            out[held] = _worst(network, [texts[i] for i in held])
+    return out
+
+
+def train_network(texts: list[str], toxic: np.ndarray, epochs: int, seed: int) -> Network | None:
+    """A network fit to windows of the texts; None without words or with one class only."""
+    if not len(texts) or toxic.min() == toxic.max():
+        return None
     spans, starts, ends, owner = letter_words(texts)
     if not len(starts):
-        return Model(None)
+        return None
     first, which = _distinct(spans, starts, ends)
     words = Words.of(spans, starts[first], ends[first])
     evidence = _evidence(spans.hash(starts, ends), owner, toxic)
@@ -274,15 +309,13 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
     rng = np.random.default_rng(seed)
     bad = np.flatnonzero((toxic[text] == 1) & chosen)
     some = rng.random(len(text))
-    clean = (toxic[text] == 0) & (chosen | (some < 0.15))
-    good = np.flatnonzero(clean | ((toxic[text] == 1) & (strength < 0.7) & (some < 0.1)))
-    bad, good = rng.permutation(bad)[:TRAIN_TOXIC], rng.permutation(good)[:TRAIN_CLEAN]
+    spare = ((toxic[text] == 0) & ~chosen) | ((toxic[text] == 1) & (strength < 0.7) & (some < 0.1))
+    good, spare = np.flatnonzero((toxic[text] == 0) & chosen), np.flatnonzero(spare)
+    bad, good = rng.permutation(bad)[:TRAIN_TOXIC], np.concatenate([rng.permutation(good), rng.permutation(spare)])[:TRAIN_CLEAN]
     network = Network(seed)
     rows, target = np.concatenate([bad, good]), np.concatenate([np.ones(len(bad)), np.zeros(len(good))]).astype(np.float32)
     _fit(network, words, index, mask, rows, target, epochs, rng)
-    model = Model(network)
-    model.shift = _shift(model, texts, toxic)
-    return model
+    return network
 
 
 def _fit(network, words, index, mask, rows, target, epochs, rng) -> None:
@@ -309,10 +342,13 @@ def _fit(network, words, index, mask, rows, target, epochs, rng) -> None:
                 network.p[k] -= (rate / (1 - 0.9**step)) * mean[k] / size
 
 
-def _shift(model: Model, texts: list[str], toxic: np.ndarray) -> float:
-    """What to add to logits so that the best split of the sample lies at the threshold."""
-    score = np.concatenate([model.scores(texts[i : i + 200]) for i in range(0, len(texts), 200)])
-    logit = np.log(np.maximum(score, 1e-12)) - np.log(np.maximum(1 - score, 1e-12))
+def _shift(logit: np.ndarray, toxic: np.ndarray) -> float:
+    """What to add to logits so that the best split of these lies at the threshold; logits
+    that are missing or of texts without words tell nothing."""
+    some = np.isfinite(logit)
+    logit, toxic = logit[some], toxic[some]
+    if not toxic.sum():
+        return 0.0
     order = np.argsort(-logit, kind="stable")
     hits = np.cumsum(toxic[order])
     f1 = 2 * hits / (np.arange(1, len(order) + 1) + toxic.sum())
