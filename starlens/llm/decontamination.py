@@ -29,7 +29,7 @@ Only DataFrame operations are used. The items' windows are broadcast if there ar
 Defined results: null and empty texts match nothing, and items with fewer than ``LEAST_WORDS``
 words are not searched: almost every text holds them. Composed and decomposed accents are
 different letters. Rows without an id are not searched. Rows with the same id count
-as one document. Items with equal text are reported each. Repeated rows of the benchmark
+as one document in ``leaks``, by their texts in ``without_leaks``. Items with equal text are reported each. Repeated rows of the benchmark
 change nothing. Other columns are not looked at.
 """
 
@@ -38,6 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starlens.llm.keys import text_key
 from starlens.session import scratch_path
 
 WINDOW = 6
@@ -162,9 +163,23 @@ def matched_windows(documents: DataFrame, windows: DataFrame) -> DataFrame:
 
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, matched and all windows, coverage, and whether slots were changed."""
+    return _leaks(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
+
+
+def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that leak no item. Rows are told by id and text, so a text that shares
+    its id with a leaking one is judged, and stays, on its own."""
+    key = F.struct(F.col("doc_id").cast("long").alias("id"), text_key(F.col("text")).alias("text_key"))
+    rows = documents.where("doc_id is not null and text is not null").select(key.alias("doc_id"), "text")
+    found = _leaks(rows, benchmark).select("doc_id.*").distinct()
+    same = (documents["doc_id"].cast("long") == found["id"]) & (text_key(documents["text"]) == found["text_key"])
+    return documents.join(found, same, "left_anti")
+
+
+def _leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Leaks of texts that are told by doc_id, which may be of any type."""
     spark = documents.sparkSession
     folder = scratch_path(spark, "decontamination")
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     item_windows(benchmark).write.parquet(f"{folder}/windows")
     windows = spark.read.parquet(f"{folder}/windows")
     matched_windows(documents, windows).write.parquet(f"{folder}/matches")

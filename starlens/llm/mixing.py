@@ -27,6 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starlens.llm.keys import free_name
 from starlens.session import scratch_path
 
 BLOCKS = 64
@@ -148,13 +149,14 @@ def mixed(documents: DataFrame, **targets) -> DataFrame:
 
 def repeated(documents: DataFrame, **targets) -> DataFrame:
     """The documents, each as often as the mixture takes it."""
+    key, copies, copy = (free_name(documents.columns, f"_mixing_{n}") for n in ("key", "copies", "copy"))
     planned = stored_plan(counted(documents), **targets)
-    planned = planned.select(F.struct("source", "block").alias("_mixing_key"), F.col("copies").alias("_mixing_copies"))
+    planned = planned.select(F.struct("source", "block").alias(key), F.col("copies").alias(copies))
     keyed = documents.withColumn(
-        "_mixing_key", F.struct("source", block_of(F.col("doc_id").cast("long"), F.col("source")).alias("block"))
+        key, F.struct("source", block_of(F.col("doc_id").cast("long"), F.col("source")).alias("block"))
     )
-    joined = keyed.join(planned, keyed["_mixing_key"].eqNullSafe(planned["_mixing_key"]))
-    taken = joined.where("_mixing_copies > 0").withColumn("_mixing_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_mixing_copies")))
+    joined = keyed.join(planned, keyed[key].eqNullSafe(planned[key]))
+    taken = joined.where(F.col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     return taken.select(*[keyed[c] for c in documents.columns])
 
 

@@ -11,7 +11,8 @@ it. Bands of coordinates bring likely pairs together: their rows and number are
 that a pair at the limit meets in no band with a probability of ``MISSED`` at most (8 rows
 and 48 bands for 85 %, 6 rows and 51 bands for 80 %).
 
-Documents with equal sets form one class, found by a digest, so copies are never paired.
+Documents with equal sets form one class, found by a digest of 128 bits and numbered when
+the classes are stored, so copies are never paired.
 A band's classes are compared with one that leads it, whole set against whole set. The
 classes of bands that still hold more than one component after that are compared too,
 where their components differ and they share one of their rarest shingles, without which
@@ -37,11 +38,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starlens.llm.arrays import mix, slices, word_hashes
 from starlens.llm.components import components
+from starlens.llm.keys import text_key
 from starlens.session import scratch_path
 
 SHINGLE_WORDS = 3
@@ -133,7 +135,9 @@ def band_keys(sketched: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return mix((mixed * odd).sum(axis=1, dtype=np.uint64) ^ _BAND_SALT[:bands])
 
 
-SKETCHED = "doc_id long, class long, n_shingles long, bands array<long>, small binary, parities array<long>"
+SKETCHED = (
+    "doc_id long, text_key binary, digest binary, n_shingles long, bands array<long>, small binary, parities array<long>"
+)
 
 
 def cell_parities(keys: np.ndarray) -> np.ndarray:
@@ -142,8 +146,8 @@ def cell_parities(keys: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _digest(keys: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _digest(keys: np.ndarray) -> bytes:
+    return hashlib.blake2b(keys.tobytes(), digest_size=16).digest()
 
 
 def _sketch_batches(batches, limits: Limits):
@@ -154,7 +158,8 @@ def _sketch_batches(batches, limits: Limits):
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id"),
-                "class": pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
+                "text_key": batch.column("text_key"),
+                "digest": pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "bands": pa.array([None if s is None else band_keys(s, rows, bands).view(np.int64) for s in sketches], pa.list_(pa.int64())),
                 "small": pa.array([None if s is None else (s & np.uint64(0xFF)).astype(np.uint8).tobytes() for s in sketches], pa.binary()),
@@ -167,7 +172,8 @@ def _set_batches(batches, words: int):
     for batch in slices(batches, "text"):
         sets = shingle_sets(*word_hashes(batch.column("text")), words)
         # Documents may share an id; only the text with the class's set counts.
-        own = [(c, s) for c, s in zip(batch.column("class").to_pylist(), sets, strict=True) if len(s) and _digest(s) == c]
+        asked = zip(batch.column("class").to_pylist(), batch.column("digest").to_pylist(), sets, strict=True)
+        own = [(c, s) for c, digest, s in asked if len(s) and _digest(s) == digest]
         yield pa.RecordBatch.from_pydict(
             {
                 "class": pa.array([c for c, _ in own], pa.int64()),
@@ -207,24 +213,26 @@ class NearDuplicates:
         self.limits = limits
         self.spark = documents.sparkSession
         self.folder = scratch_path(self.spark, "near-duplicates")
-        self.documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        self.documents = documents.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "text", text_key(F.col("text")).alias("text_key")
+        )
 
     def _kept(self, rows: DataFrame, name: str) -> DataFrame:
         rows.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
     def find(self) -> DataFrame:
-        """doc_id, n_shingles, component_id and kept of every document."""
+        """doc_id, n_shingles, component_id, kept and text_key of every document."""
         limits = self.limits
         sketched = self.documents.mapInArrow(lambda batches: _sketch_batches(batches, limits), SKETCHED)
         rows = self._kept(sketched, "sketches")
-        held = rows.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
+        held = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
         # One row for each distinct set; its first document stands for all.
         self.classes = self._kept(
-            held.groupBy("class").agg(
+            held.groupBy("digest").agg(
                 F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("small").alias("small"),
                 F.first("bands").alias("bands"), F.first("parities").alias("parities"),
-            ),
+            ).withColumn("class", F.monotonically_increasing_id()),
             "classes",
         )
         members = self._members()
@@ -299,8 +307,8 @@ class NearDuplicates:
 
     def _sets(self, needed: DataFrame) -> DataFrame:
         """Full sets of some classes, made anew from one text of each."""
-        chosen = needed.join(self.classes.select("class", "doc_id"), "class")
-        texts = self.documents.join(chosen, "doc_id").select("class", "text")
+        chosen = needed.join(self.classes.select("class", "digest", "doc_id"), "class")
+        texts = self.documents.join(chosen, "doc_id").select("class", "digest", "text")
         words = self.limits.words
         return texts.mapInArrow(lambda batches: _set_batches(batches, words), "class long, items binary").dropDuplicates(["class"])
 
@@ -308,12 +316,12 @@ class NearDuplicates:
         grouped = self.classes.select("class", "doc_id").join(labels, F.col("class") == F.col("node"), "left")
         grouped = grouped.select("class", "doc_id", F.coalesce("label", "class").alias("label"))
         least = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-        of_class = self._kept(grouped.join(least, "label").select("class", "component_id"), "components")
-        return rows.join(of_class, "class", "left").select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("class").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
-        ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        digests = self.classes.select("class", "digest")
+        of_class = self._kept(grouped.join(least, "label").join(digests, "class").select("digest", "component_id"), "components")
+        component = F.when(F.col("digest").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
+        found = rows.join(of_class, "digest", "left").select("doc_id", "n_shingles", component.alias("component_id"), "text_key")
+        kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+        return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_key")
 
 
 def _item_rows(batches):
@@ -327,5 +335,41 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, percent: i
     return NearDuplicates(documents, Limits(words, percent)).find()
 
 
+def one_of_each(documents: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """The documents with one row of each component: that of its smallest id.
+
+    Of several texts of that id, the one with the smallest key stays; of repeated rows (equal
+    id and text) any one. Rows are told by id and text, so a text stays that only shares its
+    id with one that goes. Rows without an id and texts without words all stay.
+    """
+    spark = documents.sparkSession
+    folder = scratch_path(spark, "near-duplicates-found")
+    near_duplicates(documents, words, percent).where("doc_id is not null and n_shingles > 0").write.parquet(f"{folder}/rows")
+    # Rows of one id and text count as one from here on; a key is repeated if there were several.
+    grouped = spark.read.parquet(f"{folder}/rows").groupBy("component_id", "doc_id", "text_key", "kept")
+    grouped.agg(F.count("*").alias("n")).write.parquet(f"{folder}/keys")
+    keys = spark.read.parquet(f"{folder}/keys")
+    first = keys.where("kept").groupBy("component_id").agg(F.min("text_key").alias("stays"), F.max("text_key").alias("last"))
+    twins = keys.where("kept").join(first.where("stays <> last"), "component_id").where("text_key <> stays")
+    gone = keys.where("not kept").select("doc_id", "text_key").union(twins.select("doc_id", "text_key"))
+    repeats = keys.where("kept and n > 1").select("doc_id", "text_key")
+
+    def same(others: DataFrame) -> Column:
+        own = documents["doc_id"].cast("long") == others["doc_id"]
+        return own & (text_key(documents["text"]) == others["text_key"])
+
+    if repeats.isEmpty():
+        return documents.join(gone, same(gone), "left_anti")
+    left = gone.union(repeats)
+    single = documents.join(left, same(left), "left_anti")
+    again = repeats.join(twins, ["doc_id", "text_key"], "left_anti")
+    several = documents.join(again, same(again), "left_semi")
+    row = several.groupBy(F.col("doc_id").alias("_id"), text_key(F.col("text")).alias("_key")).agg(
+        F.first(F.struct(*documents.columns)).alias("_row")
+    )
+    return single.unionByName(row.select("_row.*"))
+
+
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), SHINGLE_WORDS, PERCENT)
+    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), SHINGLE_WORDS, PERCENT)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
