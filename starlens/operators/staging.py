@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +11,14 @@ from starlens.functions import text
 from starlens.functions.keys import sha256_key
 from starlens.functions.measures import whole_number, whole_rating
 from starlens.functions.temporal import from_millis
+from starlens.session import scratch_path
 from starlens.sources import schemas
 
 REVIEW_KEY = ("parent_asin", "review_id")
 
+# So many hashes take some 300 MB of each executor.
+BROADCAST_HASHES = 5_000_000
+
 
 def _key_part(field: str) -> Column:
     """Text of one key field: an absent field is empty, an explicit null reads ``None``."""
@@ -71,15 +74,25 @@ def keep_known_parents(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
-def _same_key(keys: Sequence[str]) -> Column:
-    """Equal keys, where NULL equals NULL, against those of ``repeated_keys``."""
-    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+def by_repetition(df: DataFrame, keys: Sequence[str | Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key surely occurs once, and all others; NULL equals NULL.
 
+    Keys are counted by a 64-bit hash, so that only hashes are shuffled. The few keys that
+    share a hash with another go with the repeated ones. Hashes that occur again are stored
+    and sent to the executors, so that no row moves; above ``BROADCAST_HASHES`` Spark decides
+    how to join.
 
-def repeated_keys(df: DataFrame, keys: Sequence[str] = REVIEW_KEY) -> DataFrame:
-    """Keys of more than one row; only the keys are read and shuffled, one row for each task."""
-    counted = df.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
-    return counted.agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    ``df`` is computed once here, and once for each of the two results.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "repeated")
+    hashed = F.xxhash64(*keys)
+    counted = df.select(hashed.alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    counted.where("_n > 1").select("_hash").write.parquet(path)
+    repeated = spark.read.parquet(path)
+    if repeated.count() <= BROADCAST_HASHES:
+        repeated = F.broadcast(repeated)
+    same = hashed == repeated["_hash"]
+    return df.join(repeated, same, "left_anti"), df.join(repeated, same, "left_semi")
 
 
 def dedupe(
@@ -90,23 +103,20 @@ def dedupe(
     """One row per key: the first by ``order_cols``, then by the remaining columns.
 
     Keys are counted first. Rows of a key that occurs once pass as they are: no shuffle
-    of whole rows while the repeated keys fit a broadcast, which Spark decides by their
-    measured size. Only rows of repeated keys are compared. The first of them is a minimum,
-    not a window rank: copies collapse to one row per map task before the shuffle, so a
-    key that holds a large part of all rows never meets in one task.
+    of whole rows (see ``by_repetition``). Only rows of repeated keys are compared. The
+    first of them is a minimum, not a window rank: copies collapse to one row per map task
+    before the shuffle, so a key that holds a large part of all rows never meets in one task.
 
     ``df`` is computed twice more; store it first when it is costly.
     """
-    repeated = repeated_keys(df, keys)
     named = [c for c in order_cols if isinstance(c, str)]
     order = [
         F.col(c) if isinstance(c, str) else c.alias(f"_order_{i}") for i, c in enumerate(order_cols)
     ]
     rest = [F.col(c) for c in df.columns if c not in named and c not in keys]
-    single = df.join(repeated, _same_key(keys), "left_anti")
+    single, several = by_repetition(df, keys)
     first = (
-        df.join(repeated, _same_key(keys), "left_semi")
-        .groupBy(*keys)
+        several.groupBy(*keys)
         .agg(F.min(F.struct(*order, *rest, F.lit(0).alias("_last"))).alias("_first"))
         .select(*[F.col(c if c in keys else f"_first.{c}").alias(c) for c in df.columns])
     )
