@@ -227,9 +227,9 @@ def table_counts(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
     return counted("metadata", metadata).unionByName(counted("reviews", reviews))
 
 
-def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
-    """The first rows by key: the same ones each time."""
-    return df.orderBy(*order).limit(n)
+def preview(df: DataFrame, order: Sequence[str] = (), n: int = 5) -> DataFrame:
+    """The first rows by key, or by all columns without one: the same ones each time."""
+    return df.orderBy(*(order or df.columns)).limit(n)
 
 
 def category_heatmap(by_category: DataFrame, top: int = 12) -> DataFrame:
