@@ -30,8 +30,13 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").repartition("l_orderkey")
 
 
-def facts(spark: SparkSession, sf_dir: str, *columns: str, copies: bool = False) -> DataFrame:
-    """Review cells per line item; ``copies`` repeats some reviews with small changes."""
+def facts(
+    spark: SparkSession, sf_dir: str, *columns: str, copies: bool = False, text: Column | None = None
+) -> DataFrame:
+    """Review cells per line item; ``copies`` repeats some reviews with small changes.
+
+    ``text`` is what to show of a document, made before the join: once a document.
+    """
     wide = {"review_text", "review_id"}.intersection(columns)
     df = line_items(spark, sf_dir) if wide else table(spark, sf_dir, "lineitem")
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
@@ -41,7 +46,7 @@ def facts(spark: SparkSession, sf_dir: str, *columns: str, copies: bool = False)
     else:
         df = df.withColumns({"o_custkey": F.lit(None), "o_orderpriority": F.lit(None)})
     if "review_text" in columns:
-        documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text"))
+        documents = table(spark, sf_dir, "documents").select("doc_id", (F.col("text") if text is None else text).alias("text"))
         n = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
         df = df.withColumn("_doc", order % n).join(documents, F.col("_doc") == F.col("doc_id"), "left")
     else:
@@ -129,13 +134,21 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_metadata(landing_metadata(spark, sf_dir))
 
 
+def _members(cells: list[Column], explicit: bool) -> Column:
+    """The members of a JSON object without its braces."""
+    value = F.to_json(F.struct(*cells), {"ignoreNullFields": str(not explicit).lower()})
+    return F.substr(value, F.lit(2), F.length(value) - 2)
+
+
 def review_lines(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
-    """JSON review lines. Empty cells are left out, or written as null on line 3 of an order."""
-    df = facts(spark, sf_dir, "user_id", "review_title", "review_text", copies=copies)
-    cells = F.struct(
-        F.col("half_rating").alias("rating"),
-        F.col("review_title").alias("title"),
-        F.col("review_text").alias("text"),
+    """JSON review lines. Empty cells are left out, or written as null on line 3 of an order.
+
+    The member of the text is made once a document, so only short cells are turned to JSON here.
+    """
+    member = _members([F.col("text")], explicit=False)
+    df = facts(spark, sf_dir, "user_id", "review_title", "review_text", copies=copies, text=member)
+    before = [F.col("half_rating").alias("rating"), F.col("review_title").alias("title")]
+    after = [
         F.col("images"),
         F.when(F.col("tax") != 0, F.col("asin")).alias("asin"),
         F.col("parent_asin"),
@@ -143,16 +156,24 @@ def review_lines(spark: SparkSession, sf_dir: str, copies: bool = False) -> Data
         F.col("millis").alias("timestamp"),
         F.col("helpful_vote"),
         F.col("verified_purchase"),
-    )
-    explicit = F.to_json(cells, {"ignoreNullFields": "false"})
-    value = F.when(F.col("line") == 3, explicit).otherwise(F.to_json(cells))
+    ]
+
+    def either(cells: list[Column]) -> Column:
+        return F.when(F.col("line") == 3, _members(cells, explicit=True)).otherwise(_members(cells, explicit=False))
+
+    none = F.when(F.col("line") == 3, F.lit('"text":null'))
     # Lines 5 and up spell the flag in other ways that mean the same.
-    flag, other = '"verified_purchase":', value
+    end = either(after)
+    flag, other = '"verified_purchase":', end
     for meant, spellings in (("true", ('"false"', '"0"', "1.5", "[0]")), ("false", ("0.00", "[]", '""', "{}"))):
         chosen = F.element_at(F.array(*map(F.lit, spellings)), F.col("quantity") % len(spellings) + 1)
         other = F.replace(other, F.lit(flag + meant), F.concat(F.lit(flag), chosen))
-    value = F.when(F.col("line") >= 5, other).otherwise(value)
-    return df.select(value.alias("value"))
+    end = F.when(F.col("line") >= 5, other).otherwise(end)
+    held = F.coalesce(F.nullif(F.col("review_text"), F.lit("")), none)
+    members = F.concat_ws(",", F.nullif(either(before), F.lit("")), held, F.nullif(F.col("_end"), F.lit("")))
+    value = F.concat(F.lit("{"), members, F.lit("}"))
+    # No line without a spelling.
+    return df.withColumn("_end", end).select(F.when(F.col("_end").isNotNull(), value).alias("value"))
 
 
 def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,24 +26,38 @@ def _key_part(field: str) -> Column:
     return F.coalesce(F.col(f"raw.{field}"), F.when(present, F.lit("None")))
 
 
-def stage_reviews(lines: DataFrame) -> DataFrame:
-    """Review rows (11 columns) from JSON lines in column ``value``."""
-    parsed = lines.withColumn("raw", F.from_json("value", schemas.RAW_REVIEW))
-    return parsed.select(
-        sha256_key(*map(_key_part, ("user_id", "parent_asin", "timestamp", "asin"))).alias(
-            "review_id"
-        ),
-        "raw.parent_asin",
-        "raw.user_id",
-        "raw.asin",
-        whole_rating(F.col("raw.rating")).alias("rating"),
-        F.col("raw.title").alias("review_title"),
-        F.col("raw.text").alias("review_text"),
-        from_millis(whole_number(F.col("raw.timestamp"))).alias("review_timestamp"),
-        whole_number(F.col("raw.helpful_vote"), "int").alias("helpful_vote"),
-        text.json_truthy(F.col("raw.verified_purchase")).alias("verified_purchase"),
-        F.col("raw.images").alias("images_json"),
-    )
+# Raw fields of a staged column whose name differs from theirs.
+RAW_FIELDS = {
+    "review_id": ("user_id", "parent_asin", "timestamp", "asin"), "review_title": ("title",),
+    "review_text": ("text",), "review_timestamp": ("timestamp",), "images_json": ("images",),
+}
+
+
+def _raw_schema(columns: Sequence[str]) -> str:
+    """The part of the raw schema that these staged columns are made of."""
+    wanted = {field for c in columns for field in RAW_FIELDS.get(c, (c,))}
+    return ", ".join(f for f in schemas.RAW_REVIEW.split(",") if f.split()[0] in wanted)
+
+
+def stage_reviews(
+    lines: DataFrame, columns: Sequence[str] = tuple(schemas.column_names(schemas.STAGED_REVIEWS))
+) -> DataFrame:
+    """Review rows (11 columns, or some ``columns`` of them) from JSON lines in column ``value``.
+
+    Only the fields of these columns are read from a line; the others are passed over.
+    """
+    parsed = lines.withColumn("raw", F.from_json("value", _raw_schema(columns)))
+    staged = {
+        "review_id": sha256_key(*map(_key_part, RAW_FIELDS["review_id"])),
+        "rating": whole_rating(F.col("raw.rating")),
+        "review_title": F.col("raw.title"),
+        "review_text": F.col("raw.text"),
+        "review_timestamp": from_millis(whole_number(F.col("raw.timestamp"))),
+        "helpful_vote": whole_number(F.col("raw.helpful_vote"), "int"),
+        "verified_purchase": text.json_truthy(F.col("raw.verified_purchase")),
+        "images_json": F.col("raw.images"),
+    }
+    return parsed.select(*[(staged[c] if c in staged else F.col(f"raw.{c}")).alias(c) for c in columns])
 
 
 def stage_metadata(lines: DataFrame) -> DataFrame:
