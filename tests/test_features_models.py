@@ -173,6 +173,21 @@ def test_cross_validated_forest(spark, data, names):
     assert models.predict(best, test).columns == ["label", "prediction"]
 
 
+def test_naive_bayes_from_counted_rows(spark, data):
+    """Equal vectors of a label are one row with a weight, and the model is the same."""
+    train = data.select("label", "features_nb").unionByName(data.select("label", "features_nb").where("label = 2"))
+    counted = models.counted_rows(train)
+    assert counted.count() < train.count() == counted.agg(F.sum("n")).first()[0]
+    plain = models.nb_estimator().fit(train)
+    weighed = models.nb_estimator(weight="n").fit(counted)
+    assert weighed.stages[-1].theta.toArray() == pytest.approx(plain.stages[-1].theta.toArray(), abs=1e-12)
+    assert weighed.stages[-1].pi.toArray() == pytest.approx(plain.stages[-1].pi.toArray(), abs=1e-12)
+    assert weighed.stages[0].originalMin == plain.stages[0].originalMin
+    labels = models.class_labels(counted)
+    guesses = [sorted(models.predict_classes(m, data, labels).collect()) for m in (plain, weighed)]
+    assert guesses[0] == guesses[1]
+
+
 @pytest.fixture(scope="module")
 def predictions(spark):
     pairs = [(1, 1), (1, 2), (2, 2), (2, 2), (3, 1), (4, 4), (4, 2), (4, 4)]
