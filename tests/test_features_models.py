@@ -173,6 +173,27 @@ def test_cross_validated_forest(spark, data, names):
     assert models.predict(best, test).columns == ["label", "prediction"]
 
 
+def test_forests_split_common_flags_by_thresholds(data):
+    """The same forest as with sets of categories, and flags that no row has are still known as flags."""
+    kept = data.select("features", "label").repartition(4).cache()
+    plain = models.numeric_flags(kept)
+    before, after = (df.schema["features"].metadata["ml_attr"] for df in (kept, plain))
+    assert after["num_attrs"] == before["num_attrs"]
+    slots = [{a["idx"]: a.get("name") for kind in found["attrs"].values() for a in kind} for found in (before, after)]
+    assert slots[0] == slots[1]
+    ones = [sum(column) for column in zip(*(r["features"] for r in kept.collect()), strict=True)]
+    flags = {a["idx"] for a in before["attrs"]["binary"]}
+    assert {a["idx"] for a in after["attrs"]["binary"]} == {i for i in flags if ones[i] in (0, 120)} != set()
+    rf = models.rf_estimator().setNumTrees(5).setMaxDepth(6)
+    forests = [rf.fit(df) for df in (kept, plain)]
+    assert forests[0].featureImportances == forests[1].featureImportances
+    guesses = [[(r["label"], r["probability"]) for r in f.transform(kept).collect()] for f in forests]
+    assert guesses[0] == guesses[1]
+    assert " in {" in forests[0].toDebugString and " in {" not in forests[1].toDebugString
+    bare = kept.select("label", F.col("features").alias("features", metadata={}))
+    assert models.numeric_flags(bare) is bare
+
+
 def test_naive_bayes_from_counted_rows(spark, data):
     """Equal vectors of a label are one row with a weight, and the model is the same."""
     train = data.select("label", "features_nb").unionByName(data.select("label", "features_nb").where("label = 2"))
