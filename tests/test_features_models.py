@@ -194,6 +194,18 @@ def test_forests_split_common_flags_by_thresholds(data):
     assert models.numeric_flags(bare) is bare
 
 
+def test_forests_without_binary_slots(data):
+    """Flags that are the same in all rows may be numbers as well: the forest is the same."""
+    kept = data.select("features", "label").repartition(4).cache()
+    plain = models.numeric_flags(kept, constant=True)
+    assert "binary" not in plain.schema["features"].metadata["ml_attr"]["attrs"]
+    rf = models.rf_estimator().setNumTrees(5).setMaxDepth(6)
+    forests = [rf.fit(df) for df in (kept, plain)]
+    assert forests[0].featureImportances == forests[1].featureImportances
+    guesses = [[(r["label"], r["probability"]) for r in f.transform(kept).collect()] for f in forests]
+    assert guesses[0] == guesses[1]
+
+
 def test_naive_bayes_from_counted_rows(spark, data):
     """Equal vectors of a label are one row with a weight, and the model is the same."""
     train = data.select("label", "features_nb").unionByName(data.select("label", "features_nb").where("label = 2"))
