@@ -162,6 +162,20 @@ def test_hot_month_is_written_by_several_tasks(spark, tmp_path):
     assert table.count() == 60000 and len(table.inputFiles()) > 2
 
 
+def test_month_files_compress_texts_over_large_pages(spark, tmp_path):
+    """A text of a megabyte ago is found again; pages of 128 KB were compressed each for itself."""
+    number = F.col("id") % 280
+    hashes = [F.sha2(F.concat(number.cast("string"), F.lit(f"-{i}")), 256) for i in range(64)]
+    rows = spark.range(0, 560, 1, 1).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("review_id"), F.lit(1617000000).alias("review_timestamp"),
+        F.concat(*hashes).alias("review_text"),
+    )
+    table = warehouse.build_reviews(rows, str(tmp_path / "w"))
+    assert table.select("review_text").distinct().count() == 280 and table.count() == 560
+    size = sum(f.stat().st_size for f in (tmp_path / "w").rglob("*.parquet"))
+    assert size < 560 * 4096 / 2 * 0.75  # four bits a digit, half of the texts once more
+
+
 def test_feature_rows_need_their_columns(spark):
     with pytest.raises(ValueError, match="review_text"):
         warehouse.clean_feature_rows(spark.range(1))
