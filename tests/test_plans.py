@@ -152,6 +152,19 @@ def test_bucketed_tables_join_without_exchange(spark, small, tmp_path):
     assert spark.table("r_b").count() == 1 < total
 
 
+def test_bucketed_rows_are_written_where_they_are(spark, tmp_path):
+    """Texts aren't shuffled: each of four tasks writes its own rows of the one month and bucket."""
+    spark.sql("DROP TABLE IF EXISTS here_b")
+    rows = spark.range(0, 400, 1, 4).select(
+        F.col("id").cast("string").alias("review_id"), F.lit("p").alias("parent_asin"),
+        F.lit(1617000000).alias("review_timestamp"), F.repeat(F.col("id").cast("string"), 50).alias("review_text"),
+    )
+    table = warehouse.build_bucketed_reviews(rows, "here_b", str(tmp_path / "r"), 4)
+    assert table.count() == 400 == table.where("review_text = repeat(review_id, 50)").count()
+    assert len(table.inputFiles()) == 4
+    spark.sql("DROP TABLE here_b")
+
+
 def test_hot_month_is_written_by_several_tasks(spark, tmp_path):
     rows = spark.range(0, 60000, 1, 8).select(
         F.sha2(F.col("id").cast("string"), 256).alias("review_id"), F.lit("p").alias("parent_asin"),
