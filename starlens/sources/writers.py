@@ -68,6 +68,12 @@ def write_parquet(df: DataFrame, path: str, compression: str = "zstd") -> None:
     df.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored folder from which nothing is read any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_vectors(df: DataFrame, path: str) -> None:
     """Vectors and plain columns as gzipped JSON, in which a vector is the struct of its parts."""
     df.write.options(compression="gzip", **FAST_GZIP).json(path)
